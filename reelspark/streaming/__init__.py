@@ -1,0 +1 @@
+"""Intentionally empty: every job in this catalogue is a full-refresh batch job."""
