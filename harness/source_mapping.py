@@ -48,6 +48,7 @@ RT_MOVIES = (
         "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE concat(p_brand, ',  ', p_type) END AS director",
         "CASE WHEN p_partkey % 5 = 1 THEN 'sci-fi, Kids & Family' WHEN p_partkey % 5 = 2 THEN 'reality-tv' "
         "WHEN p_partkey % 5 = 3 THEN NULL ELSE concat(lower(p_type), ',Musical') END AS genre",
+        "'' AS scraped_at",
     ],
 )
 RATINGS = (
@@ -140,6 +141,7 @@ TMDB_MOVIES = (
         "false AS adult",
         "CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(round(c_acctbal) AS BIGINT) * 1000 END AS budget",
         "CAST(c_custkey AS BIGINT) * 3000000 AS revenue",
+        "false AS video",
     ],
 )
 SOURCES = {

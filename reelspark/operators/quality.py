@@ -24,12 +24,9 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def range_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Number of rows that break each rule, from one pass. A rule that is NULL for a row is not broken."""
-    counts = df.agg(*[F.count_if(~rule).alias(name) for name, rule in rules.items()])
-    return counts.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])
-        ).alias("e")
-    ).select("e.rule", "e.violations")
+    counts = df.agg(*[F.count_if(~rule).alias(f"_rule{i}") for i, rule in enumerate(rules.values())])
+    lines = [F.struct(F.lit(name).alias("rule"), F.col(f"_rule{i}").alias("violations")) for i, name in enumerate(rules)]
+    return counts.select(F.explode(F.array(*lines)).alias("e")).select("e.rule", "e.violations")
 
 
 def without_any(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,12 +9,18 @@ from reelspark.plans import finance, genres, overview, people, ratings, temporal
 from reelspark.plans.star import Star
 
 
-def genre_shares(star: Star, top: int = 8) -> DataFrame:
-    """Share of each of the ``top`` genres in a decade, in percent of these genres together, in long form."""
+def genre_shares(star: Star, top: int = 8, names: list[str] | None = None) -> DataFrame:
+    """Share of each leading genre in a decade, in percent of the leading genres together, in long form.
+
+    Leading are the ``top`` genres by films in total, or the named ones.
+    """
     counts = genres.genre_share_by_decade(star)
-    totals = counts.groupBy("genre_name").agg(F.sum("count").alias("total"))
-    leading = totals.orderBy(F.desc("total"), "genre_name").limit(top).select("genre_name")
-    kept = counts.join(leading, "genre_name")
+    if names is None:
+        totals = counts.groupBy("genre_name").agg(F.sum("count").alias("total"))
+        leading = totals.orderBy(F.desc("total"), "genre_name").limit(top).select("genre_name")
+        kept = counts.join(leading, "genre_name")
+    else:
+        kept = counts.where(F.col("genre_name").isin(names))
     of_decade = F.sum("count").over(Window.partitionBy("decade"))
     return kept.select("decade", "genre_name", (F.col("count") / of_decade * 100).alias("share"))
 
@@ -24,8 +30,10 @@ def genre_share_pivot(star: Star, genre_names: list[str]) -> DataFrame:
 
     The column list is explicit, so the plan does not depend on a look at the data.
     """
-    wide = genre_shares(star, len(genre_names)).groupBy("decade").pivot("genre_name", genre_names).agg(F.sum("share"))
-    return wide.select("decade", *[F.coalesce(F.col(f"`{g}`"), F.lit(0.0)).alias(g) for g in genre_names]).orderBy("decade")
+    shares = genre_shares(star, names=genre_names)
+    wide = shares.groupBy("decade").pivot("genre_name", genre_names).agg(F.sum("share"))
+    filled = [F.coalesce(F.col(f"`{g}`"), F.lit(0.0)).alias(g) for g in genre_names]
+    return wide.select("decade", *filled).orderBy("decade")
 
 
 def overview_kpis(star: Star, titles: DataFrame | None = None, start_year: int = 1950, end_year: int = 2025) -> DataFrame:

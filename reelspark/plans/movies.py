@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelspark.operators.dedupe import top_n_per_group
 from reelspark.plans.star import Star
 
 SORT_COLUMNS = {"year": "year", "title": "title", "rating": "imdb_rating", "votes": "imdb_votes"}
@@ -105,45 +106,50 @@ def movie_page(star: Star, page: int = 1, limit: int = 20, **conditions) -> Data
     )
 
 
-def movie_detail(star: Star, movie_id: int) -> DataFrame:
-    """One film with metrics, its genres, and its first 20 billed people that the person dimension knows."""
-    film = star.films("left").where(F.col("movie_id") == movie_id)
-    genres = (
-        star.bridge_movie_genres.where(F.col("movie_id") == movie_id)
-        .join(star.dim_genre, "genre_id")
+def movie_cast(star: Star, movie_id: int | None = None, limit: int = CAST_SHOWN) -> DataFrame:
+    """The first billed people of a film, or of every film when none is named."""
+    credits = star.bridge_movie_cast
+    if movie_id is not None:
+        credits = credits.where(F.col("movie_id") == movie_id)
+    known = credits.join(star.dim_person.select("person_id", "name"), "person_id")
+    shown = known.select("movie_id", "person_id", "name", "category", "ordering", "characters")
+    by = [F.asc("ordering"), F.asc("person_id"), F.asc("category"), F.asc("characters")]
+    if movie_id is not None:
+        return shown.orderBy(*by).limit(limit)
+    return top_n_per_group(shown, ["movie_id"], by, limit, "_billing").drop("_billing")
+
+
+def movie_detail(star: Star, movie_id: int | None = None) -> DataFrame:
+    """Films with metrics, genres and the first 20 billed people that the person dimension knows.
+
+    The nested lists are bounded: by the genre vocabulary and by the number of people shown.
+    """
+    films, genres = star.films("left"), star.bridge_movie_genres
+    if movie_id is not None:
+        films, genres = films.where(F.col("movie_id") == movie_id), genres.where(F.col("movie_id") == movie_id)
+    genre_lists = (
+        genres.join(star.dim_genre, "genre_id")
         .groupBy("movie_id")
         .agg(F.array_sort(F.collect_list(F.struct("genre_id", "genre_name"))).alias("genres"))
     )
-    cast = (
-        movie_cast(star, movie_id)
-        .groupBy("movie_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("ordering", "person_id", "name", "category", "characters"))
-            ).alias("cast")
-        )
-    )
-    return film.join(genres, "movie_id", "left").join(cast, "movie_id", "left")
-
-
-def movie_cast(star: Star, movie_id: int, limit: int = CAST_SHOWN) -> DataFrame:
-    """The first billed people of a film."""
-    return (
-        star.bridge_movie_cast.where(F.col("movie_id") == movie_id)
-        .join(star.dim_person.select("person_id", "name"), "person_id")
-        .select("movie_id", "person_id", "name", "category", "ordering", "characters")
-        .orderBy("ordering", "person_id")
-        .limit(limit)
+    billed = F.struct("ordering", "person_id", "name", "category", "characters")
+    cast_lists = (
+        movie_cast(star, movie_id).groupBy("movie_id").agg(F.array_sort(F.collect_list(billed)).alias("cast"))
     )
+    return films.join(genre_lists, "movie_id", "left").join(cast_lists, "movie_id", "left")
 
 
-def cast_by_role(star: Star, movie_id: int) -> DataFrame:
+def cast_by_role(star: Star, movie_id: int | None = None) -> DataFrame:
     """The shown cast of a film, split into actors and directors (names in billing order)."""
 
     def names_of(role: str) -> Column:
-        billed = F.array_sort(F.collect_list(F.when(F.col("category") == role, F.struct("ordering", "name"))))
+        billed = F.array_sort(
+            F.collect_list(F.when(F.col("category") == role, F.struct("ordering", "person_id", "name")))
+        )
         return F.array_join(F.transform(billed, lambda p: p["name"]), ", ")
 
-    return movie_cast(star, movie_id).groupBy("movie_id").agg(
-        names_of("actor").alias("actors"), names_of("director").alias("directors")
+    return (
+        movie_cast(star, movie_id)
+        .groupBy("movie_id")
+        .agg(names_of("actor").alias("actors"), names_of("director").alias("directors"))
     )
