@@ -22,6 +22,10 @@ def _rnd(x: str, scale: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"
 
 
+def _avg(x: str) -> str:
+    return _rnd(f"CAST(SUM(CAST({x} AS DECIMAL(20,10))) AS DOUBLE) / COUNT({x})", 6)
+
+
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -88,8 +92,8 @@ _LANGUAGES = f"SELECT {_LANGUAGE} AS language, COUNT(*) AS count FROM (SELECT te
 _PER_YEAR = "SELECT year, COUNT(*) AS count FROM dim_movie WHERE year BETWEEN 1900 AND 2030 GROUP BY year"
 _BINS = """SELECT CAST(FLOOR(imdb_rating) AS INT) AS bin, COUNT(*) AS count FROM fact_movie_metrics
   WHERE imdb_rating IS NOT NULL GROUP BY 1"""
-_PLATFORMS = """SELECT year, ROUND(AVG(imdb_rating), 6) AS imdb_avg, ROUND(AVG(tmdb_rating), 6) AS tmdb_avg,
-  ROUND(AVG(ml_avg_rating), 6) AS ml_avg FROM films WHERE year BETWEEN 1990 AND 2025 GROUP BY year"""
+_PLATFORMS = f"""SELECT year, {_avg('imdb_rating')} AS imdb_avg, {_avg('tmdb_rating')} AS tmdb_avg,
+  {_avg('ml_avg_rating')} AS ml_avg FROM films WHERE year BETWEEN 1990 AND 2025 GROUP BY year"""
 
 OVERVIEW = {
     "movies_per_year": _PER_YEAR,
@@ -113,7 +117,7 @@ OVERVIEW = {
 _SHARE = """SELECT CAST((year // 10) * 10 AS INT) AS decade, genre_name, COUNT(*) AS count
   FROM dim_movie JOIN bridge_movie_genres USING (movie_id) JOIN dim_genre USING (genre_id)
   WHERE year BETWEEN 1920 AND 2024 GROUP BY 1, 2"""
-_GENRE_RATING = """SELECT genre_name, ROUND(AVG(imdb_rating), 6) AS avg_rating, COUNT(*) AS movie_count
+_GENRE_RATING = f"""SELECT genre_name, {_avg('imdb_rating')} AS avg_rating, COUNT(*) AS movie_count
   FROM dim_genre JOIN bridge_movie_genres USING (genre_id) JOIN fact_movie_metrics USING (movie_id)
   WHERE imdb_rating IS NOT NULL GROUP BY genre_name HAVING COUNT(*) > 100"""
 _COOCCURRENCE = """SELECT g1.genre_name AS genre1, g2.genre_name AS genre2, COUNT(*) AS count
@@ -149,17 +153,17 @@ PEOPLE = {
     "top_prolific": """SELECT person_id, name, COUNT(DISTINCT movie_id) AS movie_count FROM dim_person
       JOIN bridge_movie_cast USING (person_id) WHERE category = 'actor' GROUP BY 1, 2
       ORDER BY movie_count DESC, person_id LIMIT 20""",
-    "top_rated": """SELECT person_id, name, ROUND(AVG(imdb_rating), 6) AS avg_rating, COUNT(DISTINCT movie_id) AS movie_count
+    "top_rated": f"""SELECT person_id, name, {_avg('imdb_rating')} AS avg_rating, COUNT(DISTINCT movie_id) AS movie_count
       FROM dim_person JOIN bridge_movie_cast USING (person_id) JOIN fact_movie_metrics USING (movie_id)
       WHERE category = 'actor' AND imdb_rating IS NOT NULL GROUP BY 1, 2 HAVING COUNT(DISTINCT movie_id) >= 5
       ORDER BY avg_rating DESC, person_id LIMIT 20""",
-    "person_rating_history": """SELECT person_id, year, ROUND(AVG(imdb_rating), 6) AS avg_rating, COUNT(*) AS movie_count
+    "person_rating_history": f"""SELECT person_id, year, {_avg('imdb_rating')} AS avg_rating, COUNT(*) AS movie_count
       FROM bridge_movie_cast JOIN films USING (movie_id) WHERE imdb_rating IS NOT NULL GROUP BY 1, 2""",
     "actor_network": _PAIRS,
     "person_detail": f"""SELECT p.person_id, p.name, p.birth_year, movie_id, title, year, category, characters, imdb_rating
       FROM dim_person p LEFT JOIN ({_CREDITS}) c ON p.person_id = c.person_id""",
     "person_summary": f"""SELECT person_id, COUNT(*) AS film_rows,
-      ROUND(AVG(CASE WHEN imdb_rating <> 0 THEN imdb_rating END), 6) AS avg_rating,
+      {_avg('CASE WHEN imdb_rating <> 0 THEN imdb_rating END')} AS avg_rating,
       MIN(year) AS first_year, MAX(year) AS last_year,
       COUNT(CASE WHEN category = 'actor' THEN 1 END) AS actor_rows,
       COUNT(CASE WHEN category = 'director' THEN 1 END) AS director_rows,
@@ -169,15 +173,15 @@ PEOPLE = {
 
 # --- temporal ---
 
-_MPAA = """SELECT mpaa_rating, COUNT(*) AS count, ROUND(AVG(imdb_rating), 6) AS avg_rating FROM dim_movie m
+_MPAA = f"""SELECT mpaa_rating, COUNT(*) AS count, {_avg('imdb_rating')} AS avg_rating FROM dim_movie m
   LEFT JOIN fact_movie_metrics f ON m.movie_id = f.movie_id WHERE mpaa_rating IS NOT NULL GROUP BY 1"""
 
 TEMPORAL = {
     "runtime_trend": """SELECT year, CAST(SUM(runtime) AS DOUBLE) / COUNT(*) AS avg_runtime, COUNT(*) AS movie_count
       FROM dim_movie WHERE runtime BETWEEN 30 AND 300 AND year BETWEEN 1950 AND 2025 GROUP BY year""",
-    "quality_by_month": """SELECT month, ROUND(AVG(imdb_rating), 6) AS avg_rating, COUNT(*) AS movie_count
+    "quality_by_month": f"""SELECT month, {_avg('imdb_rating')} AS avg_rating, COUNT(*) AS movie_count
       FROM fact_movie_metrics JOIN dim_time USING (time_id) WHERE imdb_rating IS NOT NULL GROUP BY month""",
-    "quality_by_release_month": """SELECT CAST(MONTH(o_orderdate) AS INT) AS month, ROUND(AVG(imdb_rating), 6) AS avg_rating,
+    "quality_by_release_month": f"""SELECT CAST(MONTH(o_orderdate) AS INT) AS month, {_avg('imdb_rating')} AS avg_rating,
       COUNT(*) AS movie_count FROM fact_movie_metrics JOIN orders ON o_orderkey = movie_id
       WHERE imdb_rating IS NOT NULL GROUP BY 1""",
     "mpaa_distribution": _MPAA,

@@ -7,7 +7,6 @@ runs on defaults.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,12 +230,12 @@ def _enrich_box_office(spark, sf_dir):
 
 def _known_people(star: Star) -> Star:
     """The star with the person filter of the gold job, so that some credits have no person."""
-    return replace(star, dim_person=star.dim_person.where(F.col("birth_year").isNotNull()))
+    return star.replace(dim_person=star.dim_person.where(F.col("birth_year").isNotNull()))
 
 
 def _titled_films(star: Star) -> Star:
     """Films without a title left out of the dimension, so that some facts are orphans."""
-    return replace(star, dim_movie=star.dim_movie.where(F.col("title").isNotNull()))
+    return star.replace(dim_movie=star.dim_movie.where(F.col("title").isNotNull()))
 
 
 def _warehouse_projection(spark, sf_dir):

@@ -6,6 +6,9 @@ vocabulary. Sums are taken over whole numbers, so both engines get the same valu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +22,85 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def star_of(spark: SparkSession, sf_dir: str) -> Star:
-    orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier")
+    read = cache(partial(table, spark, sf_dir))
+    genre_names = cache(partial(_genre_dimension, read))
+    films = cache(partial(_films, read))
+    return Star(
+        dim_time=lambda: gold.build_dim_time(gold.calendar_of(read("orders"), "o_orderdate")),
+        dim_genre=genre_names,
+        dim_person=lambda: read("supplier").selectExpr(
+            "s_suppkey as person_id",
+            "s_name as name",
+            "case when s_acctbal < 0 then null else 1900 + s_nationkey end as birth_year",
+        ),
+        dim_movie=lambda: films().selectExpr(
+            "o_orderkey as movie_id",
+            "concat('tt', o_orderkey) as imdb_id",
+            "cast(o_custkey as int) as tmdb_id",
+            "cast(null as int) as ml_id",
+            "cast(null as string) as rt_slug",
+            "nm as title",
+            "nm as original_title",
+            "year(o_orderdate) as year",
+            "cast(q as int) as runtime",
+            "nullif(o_orderpriority, '4-NOT SPECIFIED') as mpaa_rating",
+            "concat('Order of customer ', o_custkey) as plot_summary",
+            "concat('/poster/', o_orderkey) as poster_url",
+            "concat('/backdrop/', o_orderkey) as backdrop_url",
+            "0 as is_adult",
+            "cast(x as double) as popularity",
+        ),
+        fact_movie_metrics=lambda: films().selectExpr(
+            "o_orderkey as metric_id",
+            "o_orderkey as movie_id",
+            "cast(date_format(o_orderdate, 'yyyyMMdd') as int) as time_id",
+            "round(cast(x as double) / n / 2, 2) as ml_avg_rating",
+            "n as ml_rating_count",
+            "cast(d as double) / n as imdb_rating",
+            "q * 50 as imdb_votes",
+            "cast(x as double) / n as tmdb_rating",
+            "n as tmdb_votes",
+            "cast(x as double) as tmdb_popularity",
+            f"{_TOMATO} as tomatometer_score",
+            f"{_AUDIENCE} as audience_score",
+            f"abs({_TOMATO} - {_AUDIENCE}) as divisive_score",
+            "ext as budget",
+            "case when o_orderstatus = 'P' then 0 else cast(round(o_totalprice) as bigint) end as revenue",
+        ),
+        bridge_movie_cast=lambda: read("lineitem")
+        .selectExpr(
+            "l_orderkey as movie_id",
+            "l_suppkey as person_id",
+            "case l_returnflag when 'A' then 'actor' when 'N' then 'director' else 'writer' end as category",
+            "l_linenumber as ordering",
+            "concat('part ', l_partkey) as characters",
+        )
+        .distinct(),
+        bridge_movie_genres=lambda: _lines_with_parts(read)
+        .select(F.col("l_orderkey").alias("movie_id"), F.col("p_brand").alias("genre_name"))
+        .distinct()
+        .join(genre_names(), "genre_name")
+        .select("movie_id", "genre_id"),
+    )
+
+
+_TOMATO = "case when o_custkey % 5 = 0 then null else cast(o_custkey % 101 as int) end"
+_AUDIENCE = "case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 101 as int) end"
+
+Read = Callable[[str], DataFrame]
+
+
+def _genre_dimension(read: Read) -> DataFrame:
+    return dense_key_of_names(read("part").select(F.col("p_brand").alias("genre_name")), "genre_name", "genre_id")
 
-    named = lineitem.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey")
-    per_order = named.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+
+def _lines_with_parts(read: Read) -> DataFrame:
+    parts = read("part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    return read("lineitem").join(parts, "l_partkey")
+
+
+def _films(read: Read) -> DataFrame:
+    per_order = _lines_with_parts(read).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.expr("sum(cast(l_quantity as bigint))").alias("q"),
         F.expr("sum(cast(round(l_extendedprice) as bigint))").alias("ext"),
         F.expr("sum(cast(round(l_discount * 100) as bigint))").alias("d"),
@@ -33,65 +108,7 @@ def star_of(spark: SparkSession, sf_dir: str) -> Star:
         F.count("*").alias("n"),
         F.min("p_name").alias("nm"),
     )
-    films = orders.join(per_order, "o_orderkey", "left")
-
-    dim_movie = films.selectExpr(
-        "o_orderkey as movie_id",
-        "concat('tt', o_orderkey) as imdb_id",
-        "cast(o_custkey as int) as tmdb_id",
-        "cast(null as int) as ml_id",
-        "cast(null as string) as rt_slug",
-        "nm as title",
-        "nm as original_title",
-        "year(o_orderdate) as year",
-        "cast(q as int) as runtime",
-        "nullif(o_orderpriority, '4-NOT SPECIFIED') as mpaa_rating",
-        "concat('Order of customer ', o_custkey) as plot_summary",
-        "concat('/poster/', o_orderkey) as poster_url",
-        "concat('/backdrop/', o_orderkey) as backdrop_url",
-        "0 as is_adult",
-        "cast(x as double) as popularity",
-    )
-    tomato = "case when o_custkey % 5 = 0 then null else cast(o_custkey % 101 as int) end"
-    audience = "case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 101 as int) end"
-    fact = films.selectExpr(
-        "o_orderkey as metric_id",
-        "o_orderkey as movie_id",
-        "cast(date_format(o_orderdate, 'yyyyMMdd') as int) as time_id",
-        "round(cast(x as double) / n / 2, 2) as ml_avg_rating",
-        "n as ml_rating_count",
-        "cast(d as double) / n as imdb_rating",
-        "q * 50 as imdb_votes",
-        "cast(x as double) / n as tmdb_rating",
-        "n as tmdb_votes",
-        "cast(x as double) as tmdb_popularity",
-        f"{tomato} as tomatometer_score",
-        f"{audience} as audience_score",
-        f"abs({tomato} - {audience}) as divisive_score",
-        "ext as budget",
-        "case when o_orderstatus = 'P' then 0 else cast(round(o_totalprice) as bigint) end as revenue",
-    )
-    dim_person = supplier.selectExpr(
-        "s_suppkey as person_id",
-        "s_name as name",
-        "case when s_acctbal < 0 then null else 1900 + s_nationkey end as birth_year",
-    )
-    bridge_cast = lineitem.selectExpr(
-        "l_orderkey as movie_id",
-        "l_suppkey as person_id",
-        "case l_returnflag when 'A' then 'actor' when 'N' then 'director' else 'writer' end as category",
-        "l_linenumber as ordering",
-        "concat('part ', l_partkey) as characters",
-    ).distinct()
-    dim_genre = dense_key_of_names(part.select(F.col("p_brand").alias("genre_name")), "genre_name", "genre_id")
-    bridge_genres = (
-        named.select(F.col("l_orderkey").alias("movie_id"), F.col("p_brand").alias("genre_name"))
-        .distinct()
-        .join(dim_genre, "genre_name")
-        .select("movie_id", "genre_id")
-    )
-    dim_time = gold.build_dim_time(gold.calendar_of(orders, "o_orderdate"))
-    return Star(dim_time, dim_genre, dim_person, dim_movie, fact, bridge_cast, bridge_genres)
+    return read("orders").join(per_order, "o_orderkey", "left")
 
 
 STAR_SQL = """

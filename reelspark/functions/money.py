@@ -42,6 +42,11 @@ def mean_of_whole_numbers(x: Column) -> Column:
     return F.sum(x.cast("bigint")).cast("double") / F.count(x)
 
 
+def exact_sum(x: Column) -> Column:
+    """Sum of a floating column in decimal: the same under any order of addition and any partitioning."""
+    return F.sum(x.cast("decimal(20,10)"))
+
+
 def stable_avg(x: Column, scale: int = 6) -> Column:
-    """Average of a floating column, rounded so that summation order cannot change the result or its rank."""
-    return F.round(F.avg(x), scale)
+    """Average of a floating column from an exact sum, so that neither a rank nor a re-run can flip a digit."""
+    return round_half_up(exact_sum(x).cast("double") / F.count(x), scale)

@@ -35,12 +35,17 @@ def exact_percentiles(
     probabilities: dict[str, float],
     row_count: str = "row_count",
     sums: dict[str, Column] | None = None,
+    bounded_groups: bool = False,
 ) -> DataFrame:
     """Per group: number of rows, sums, and percentiles interpolated like SQL ``percentile_cont``.
 
     The built-in ``percentile`` keeps a whole group in one task. Here a histogram of narrow slices (combined map
     side, a bounded number of rows per group) shows which slice holds each wanted rank; only the rows of those
     slices are then counted by value and ranked, each slice on its own. NULL values count as rows only.
+
+    ``bounded_groups`` says that the keys come from a small vocabulary (genres, years). The slice list, at most two
+    rows per group and percentile, is then broadcast and the rows are filtered where they are; otherwise they are
+    shuffled by group and slice, which spreads a hot group over its slices.
     """
     sums = sums or {}
     sliced = df.withColumn("_v", F.col(value).cast("double")).withColumn("_slice", _slice_of(F.col("_v")))
@@ -74,6 +79,8 @@ def exact_percentiles(
     targets = placed.where(holds_a_rank | (F.col("_n") == 0)).select(*keys, "_slice", *carried)
 
     place = [*keys, "_slice"]
+    if bounded_groups:
+        targets = F.broadcast(targets)
     picked = (
         sliced.select(*place, "_v")
         .join(prefixed(targets, place), same_key(place))

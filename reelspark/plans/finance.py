@@ -90,14 +90,20 @@ def roi_leaderboard(
 
 
 def _financed(star: Star, start_year: int, end_year: int, min_budget: int) -> DataFrame:
-    """Key, multiple and profit of the films with both sums known."""
+    """Year and money of the films with both sums known."""
     return (
         star.films()
         .where((F.col("budget") >= min_budget) & (F.col("revenue") > 0) & _in_years(start_year, end_year))
-        .select("movie_id", "year", "budget", "revenue", _multiple().alias("multiple"), _profit().alias("profit"))
+        .select("movie_id", "year", "budget", "revenue")
     )
 
 
+def _with_returns(df: DataFrame) -> DataFrame:
+    """Multiple and profit, computed after the last join: both passes of the percentile then ask the joins for the
+    same columns and share their shuffles."""
+    return df.withColumns({"multiple": _multiple(), "profit": _profit()})
+
+
 def _mean(total: str, count: str = "movie_count") -> Column:
     """Average from an exact integer sum."""
     return round_half_up(F.col(total).cast("double") / F.col(count), 0)
@@ -109,12 +115,13 @@ def genre_profitability(
     """Median return per genre with its quartiles."""
     rows = star.bridge_movie_genres.join(_financed(star, start_year, end_year, min_budget), "movie_id")
     stats = exact_percentiles(
-        rows,
+        _with_returns(rows),
         ["genre_id"],
         "multiple",
         {"median": 0.5, "p25": 0.25, "p75": 0.75},
         row_count="movie_count",
         sums={"profit_sum": F.col("profit")},
+        bounded_groups=True,
     )
     return (
         stats.where(F.col("movie_count") >= min_movies)
@@ -134,12 +141,13 @@ def genre_profitability(
 def profitability_trend(star: Star, start_year: int = 1980, end_year: int = 2025, min_budget: int = 0) -> DataFrame:
     """Mean budget, revenue and profit, and median return, by year. ``min_budget=0`` means no threshold."""
     stats = exact_percentiles(
-        _financed(star, start_year, end_year, max(min_budget, 1)),
+        _with_returns(_financed(star, start_year, end_year, max(min_budget, 1))),
         ["year"],
         "multiple",
         {"median": 0.5},
         row_count="movie_count",
         sums={c + "_sum": F.col(c) for c in ["budget", "revenue", "profit"]},
+        bounded_groups=True,
     )
     return stats.select(
         "year",
@@ -183,7 +191,7 @@ def star_power_roi(
         category = "actor"
     credits = star.bridge_movie_cast.where(F.col("category") == category).select("movie_id", "person_id")
     stats = exact_percentiles(
-        credits.join(_financed(star, start_year, end_year, min_budget), "movie_id"),
+        _with_returns(credits.join(_financed(star, start_year, end_year, min_budget), "movie_id")),
         ["person_id"],
         "multiple",
         {"median": 0.5},

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,31 +14,52 @@ from reelspark.operators.quality import check_row, duplicate_keys, orphans, rang
 from reelspark.sources import readers, writers
 
 
-@dataclass(frozen=True)
+# Parents come before children: this is also the load order.
+TABLES = [
+    "dim_time",
+    "dim_genre",
+    "dim_person",
+    "dim_movie",
+    "fact_movie_metrics",
+    "bridge_movie_cast",
+    "bridge_movie_genres",
+]
+
+
 class Star:
-    """Parents come before children: this is also the load order."""
+    """The seven tables, each given as a DataFrame or as a function that opens it on first use.
+
+    Opening late means that a query touches the file listings of the tables it reads and of no others.
+    """
 
-    dim_time: DataFrame
-    dim_genre: DataFrame
-    dim_person: DataFrame
-    dim_movie: DataFrame
-    fact_movie_metrics: DataFrame
-    bridge_movie_cast: DataFrame
-    bridge_movie_genres: DataFrame
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        unknown = set(tables) - set(TABLES)
+        if unknown:
+            raise ValueError(f"not a star table: {sorted(unknown)}")
+        self._tables = dict(tables)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        df = self._tables[name]
+        if not isinstance(df, DataFrame):
+            df = self._tables[name] = df()
+        return df
+
+    def replace(self, **tables: DataFrame) -> Star:
+        """The same star with some tables exchanged."""
+        return Star(**{**self._tables, **tables})
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLES if name in self._tables}
 
     def films(self, how: str = "inner") -> DataFrame:
         """Films with their metrics."""
         return self.dim_movie.join(self.fact_movie_metrics.drop("time_id", "metric_id"), "movie_id", how)
 
 
-TABLES = [f.name for f in fields(Star)]
-
-
 def read_star(spark: SparkSession, gold_root: str) -> Star:
-    return Star(**{name: readers.read_table(spark, f"{gold_root}/{name}") for name in TABLES})
+    return Star(**{name: partial(readers.read_table, spark, f"{gold_root}/{name}") for name in TABLES})
 
 
 def register_views(star: Star) -> None:

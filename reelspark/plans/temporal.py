@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.functions.money import mean_of_whole_numbers, stable_avg
+from reelspark.functions.money import exact_sum, mean_of_whole_numbers, round_half_up, stable_avg
 from reelspark.plans.genres import decade
 from reelspark.plans.star import Star
 
@@ -24,13 +24,13 @@ def quality_by_month(star: Star) -> DataFrame:
     per_day = (
         star.fact_movie_metrics.where(F.col("imdb_rating").isNotNull())
         .groupBy("time_id")
-        .agg(F.sum("imdb_rating").alias("rating_sum"), F.count("*").alias("movie_count"))
+        .agg(exact_sum(F.col("imdb_rating")).alias("rating_sum"), F.count("*").alias("movie_count"))
     )
     return (
         per_day.join(star.dim_time.where(F.col("month").isNotNull()).select("time_id", "month"), "time_id")
         .groupBy("month")
         .agg(
-            F.round(F.sum("rating_sum") / F.sum("movie_count"), 6).alias("avg_rating"),
+            round_half_up(F.sum("rating_sum").cast("double") / F.sum("movie_count"), 6).alias("avg_rating"),
             F.sum("movie_count").alias("movie_count"),
         )
         .orderBy("month")
