@@ -290,7 +290,7 @@ _TMDB_NAMES = f"list_transform(genre_ids, lambda i: {_TMDB_NAME})"
 _BARE_MONEY = "TRIM(regexp_replace(upper(box_office), '[$,]', '', 'g'))"
 _FACTOR = f"CASE right({_BARE_MONEY}, 1) WHEN 'K' THEN 1000 WHEN 'M' THEN 1000000 WHEN 'B' THEN 1000000000 ELSE 1 END"
 _DIGITS = f"regexp_replace({_BARE_MONEY}, '[KMB]$', '')"
-_AMOUNT = f"CAST(TRUNC(TRY_CAST({_DIGITS} AS DECIMAL(24,6)) * {_FACTOR}) AS BIGINT)"
+_AMOUNT = f"CAST(TRUNC(TRY_CAST({_DIGITS} AS DECIMAL(28,9)) * {_FACTOR}) AS BIGINT)"
 _BINARY_AMOUNT = f"CAST(TRUNC(TRY_CAST({_DIGITS} AS DOUBLE) * {_FACTOR}) AS BIGINT)"
 
 # --- silver ---

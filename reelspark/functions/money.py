@@ -21,7 +21,8 @@ def parse_box_office(text: Column, exact: bool = True) -> Column:
     for letter, size in MAGNITUDES.items():
         factor = F.when(suffix == letter, F.lit(size)).otherwise(factor)
     if exact:
-        amount = digits.try_cast("decimal(24,6)") * factor.cast("decimal(10,0)")
+        whole = digits.try_cast("decimal(28,9)")
+        amount = F.when(suffix.isin(list(MAGNITUDES)), whole * factor.cast("decimal(10,0)")).otherwise(whole)
     else:
         amount = digits.try_cast("double") * factor.cast("double")
     return amount.try_cast("bigint")
