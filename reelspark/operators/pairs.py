@@ -35,52 +35,67 @@ def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256) -> D
     each name's largest movies are set aside, as far as those alone could not add up to ``min_count``.
     A pair that reaches the count shares at least one movie that neither of them set aside.
     """
-    sizes = members.groupBy("movie_id").agg(F.count("*").alias("people"))
-    crowded = sizes.where(F.col("people") > crowd).select("movie_id")
-    small = members.join(crowded, "movie_id", "left_anti")
-    big = members.join(crowded, "movie_id", "left_semi").select("movie_id", "person_id", "name", "n")
-
-    met = _oriented_scores(small, small)
-    candidates = _both_ways(met.select("name1", "name2")).unionByName(
-        _both_ways(_reachable_pairs(big, min_count))
-    ).distinct()
-    first = big.select("movie_id", F.col("person_id").alias("id1"), F.col("name").alias("name1"), F.col("n").alias("n1"))
-    second = big.select("movie_id", F.col("person_id").alias("id2"), F.col("name").alias("name2"), F.col("n").alias("n2"))
-    in_big = (
-        candidates.join(first, "name1")
-        .join(second, ["movie_id", "name2"])
-        .where(F.col("id1") < F.col("id2"))
-        .groupBy("name1", "name2")
-        .agg(F.sum(F.col("n1") * F.col("n2")).alias("score"))
+    # max(n) keeps this aggregate on the same columns as the pairing, so both read one shuffle of the credits.
+    sizes = members.groupBy("movie_id").agg(F.count("*").alias("people"), F.max("n").alias("most"))
+    crowded = sizes.where(F.col("people") > crowd)
+    small = members.join(crowded.select("movie_id"), "movie_id", "left_anti")
+    big = members.join(crowded.select("movie_id", "people"), "movie_id")
+
+    met = _scored(_one(small).join(_other(small), "movie_id").where(F.col("id1") < F.col("id2")))
+    hopeful = _reachable_pairs(big, min_count).select("low", "high", F.lit(0).alias("forth"), F.lit(0).alias("back"))
+    candidates = (
+        met.unionByName(hopeful).groupBy("low", "high").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"))
+    )
+    one = _one(big).withColumnRenamed("name1", "low")
+    other = _other(big).withColumnRenamed("name2", "high")
+    # Without crowded movies both left joins fall away at run time.
+    found = candidates.join(one, "low", "left").join(other, ["movie_id", "high"], "left")
+    together = F.when(F.col("id1") < F.col("id2"), F.col("n1") * F.col("n2"))
+    reversed_ = F.when((F.col("id1") > F.col("id2")) & (F.col("low") < F.col("high")), F.col("n1") * F.col("n2"))
+    totals = found.groupBy("low", "high").agg(
+        (F.max("forth") + F.coalesce(F.sum(together), F.lit(0))).alias("forth"),
+        (F.max("back") + F.coalesce(F.sum(reversed_), F.lit(0))).alias("back"),
+    )
+    directions = F.explode(
+        F.array(
+            F.struct(F.col("low").alias("name1"), F.col("high").alias("name2"), F.col("forth").alias("count")),
+            F.struct(F.col("high").alias("name1"), F.col("low").alias("name2"), F.col("back").alias("count")),
+        )
     )
     return (
-        met.unionByName(in_big)
-        .groupBy("name1", "name2")
-        .agg(F.sum("score").alias("count"))
-        .where(F.col("count") >= min_count)
+        totals.select(directions.alias("d"))
+        .select("d.name1", "d.name2", "d.count")
+        .where((F.col("count") > 0) & (F.col("count") >= min_count))
     )
 
 
-def _oriented_scores(left: DataFrame, right: DataFrame) -> DataFrame:
-    a = left.select("movie_id", F.col("person_id").alias("id1"), F.col("name").alias("name1"), F.col("n").alias("n1"))
-    b = right.select("movie_id", F.col("person_id").alias("id2"), F.col("name").alias("name2"), F.col("n").alias("n2"))
-    return (
-        a.join(b, "movie_id")
-        .where(F.col("id1") < F.col("id2"))
-        .groupBy("name1", "name2")
-        .agg(F.sum(F.col("n1") * F.col("n2")).alias("score"))
+def _one(members: DataFrame) -> DataFrame:
+    return members.select(
+        "movie_id", F.col("person_id").alias("id1"), F.col("name").alias("name1"), F.col("n").alias("n1")
     )
 
 
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.unionByName(pairs.select(F.col("name2").alias("name1"), F.col("name1").alias("name2")))
+def _other(members: DataFrame) -> DataFrame:
+    return members.select(
+        "movie_id", F.col("person_id").alias("id2"), F.col("name").alias("name2"), F.col("n").alias("n2")
+    )
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    """Scores per unordered pair of names: ``forth`` where the first name is the lower one, ``back`` otherwise."""
+    forth = F.col("name1") <= F.col("name2")
+    score = F.col("n1") * F.col("n2")
+    return pairs.groupBy(F.least("name1", "name2").alias("low"), F.greatest("name1", "name2").alias("high")).agg(
+        F.coalesce(F.sum(F.when(forth, score)), F.lit(0)).alias("forth"),
+        F.coalesce(F.sum(F.when(~forth, score)), F.lit(0)).alias("back"),
+    )
 
 
 def _reachable_pairs(big: DataFrame, min_count: int) -> DataFrame:
     """Name pairs of crowded movies that could reach ``min_count`` in crowded movies alone."""
-    credits = big.groupBy("movie_id", "name").agg(F.sum("n").alias("n"))
-    extent = credits.groupBy("movie_id").agg(F.count("*").alias("people"), F.max("n").alias("most"))
-    bounded = credits.join(extent, "movie_id").select(
+    credits = big.groupBy("movie_id", "name").agg(F.sum("n").alias("n"), F.max("people").alias("people"))
+    most = credits.groupBy("movie_id").agg(F.max("n").alias("most"))
+    bounded = credits.join(most, "movie_id").select(
         "movie_id", "name", "people", (F.col("n") * F.col("most")).alias("bound")
     )
     # Each bound is at least 1, so a name can set aside fewer than min_count movies: a top-n, not a whole group.
@@ -93,6 +108,6 @@ def _reachable_pairs(big: DataFrame, min_count: int) -> DataFrame:
         .select("movie_id", "name")
     )
     kept = bounded.select("movie_id", "name").join(set_aside, ["movie_id", "name"], "left_anti")
-    one = kept.select("movie_id", F.col("name").alias("name1"))
-    two = kept.select("movie_id", F.col("name").alias("name2"))
-    return one.join(two, "movie_id").where(F.col("name1") <= F.col("name2")).select("name1", "name2").distinct()
+    low = kept.select("movie_id", F.col("name").alias("low"))
+    high = kept.select("movie_id", F.col("name").alias("high"))
+    return low.join(high, "movie_id").where(F.col("low") <= F.col("high")).select("low", "high").distinct()

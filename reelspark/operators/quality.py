@@ -57,7 +57,7 @@ def split_quarantine(
     rejected = [null_key]
     for column, parent, parent_key in parents:
         rejected.append(orphans(keyed, parent, column, parent_key).withColumn("reason", F.lit("orphan")))
-        keyed = keyed.join(parent.select(F.col(parent_key).alias(column)).distinct(), column, "left_semi")
+        keyed = keyed.join(parent.select(F.col(parent_key).alias(column)), column, "left_semi")
     loaded = first_per_key(keyed.drop("copies"), key).select(*df.columns)
     marked = prefixed(loaded, df.columns).withColumn("_loaded", F.lit(1))
     spare = (

@@ -176,9 +176,11 @@ def build_bridge_genres(spine: DataFrame, silver_by_key: dict[str, DataFrame], d
     """(film, genre) from every source, joined by that source's own id (``silver_by_key``: id column -> table)."""
     parts = []
     for key, silver in silver_by_key.items():
-        genres = exploded_genres(silver, [key]).select(key, canonical_genre(F.col("genre")).alias("genre_name"))
+        # NULLs are dropped inside the array: as a row filter the test would repeat the text work below the explode.
+        canonical = F.filter(F.transform("genres_array", canonical_genre), lambda g: g.isNotNull())
+        genres = silver.select(key, F.explode(F.array_distinct(canonical)).alias("genre_name"))
         films = spine.where(F.col(key).isNotNull()).select("movie_id", key)
-        parts.append(films.join(genres.where(F.col("genre_name").isNotNull()), key).select("movie_id", "genre_name"))
+        parts.append(films.join(genres, key).select("movie_id", "genre_name"))
     return (
         union_all(parts).join(dim_genre, "genre_name").select("movie_id", "genre_id").distinct()
     )

@@ -117,6 +117,17 @@ def v_movie_cast(star: Star) -> DataFrame:
     )
 
 
+# The key that readers look a table up by; files are laid out along it.
+LOOKUP_KEYS = {
+    "dim_time": "time_id",
+    "dim_genre": "genre_id",
+    "dim_person": "person_id",
+    "dim_movie": "movie_id",
+    "fact_movie_metrics": "movie_id",
+    "bridge_movie_cast": "movie_id",
+    "bridge_movie_genres": "movie_id",
+}
+
 # --- Warehouse load -------------------------------------------------------------------------------------------
 
 AUDIT_COLUMNS = ["created_date", "cleaned_date", "ingest_date", "aggregated_date"]
@@ -147,7 +158,8 @@ def export_star(star: Star, root: str, tables: list[str] | None = None, mode: st
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            writers.write_table(warehouse_projection(star.tables()[name]), f"{root}/{name}", mode=mode)
+            rows = warehouse_projection(getattr(star, name))
+            writers.write_table(rows, f"{root}/{name}", mode=mode, sort_by=[LOOKUP_KEYS[name]])
             outcome[name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
@@ -161,7 +173,7 @@ def export_star_jdbc(
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            writers.write_jdbc(warehouse_projection(star.tables()[name]), url, name, properties, mode)
+            writers.write_jdbc(warehouse_projection(getattr(star, name)), url, name, properties, mode)
             outcome[name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"

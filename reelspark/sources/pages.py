@@ -123,9 +123,9 @@ def extract_movies(
     ld_date = _non_empty(ld["dateCreated"])
     item_date = _first_value(items, "release date", "in theaters")
     release_date = F.coalesce(ld_date, item_date)
-    records = parsed.select(
+    record = F.struct(
         rt_id_of(F.col("slug")).alias("rt_id"),
-        "slug",
+        F.col("slug"),
         F.coalesce(_non_empty(ld["name"]), _non_empty(F.col("heading")), F.col("slug")).alias("title"),
         F.coalesce(
             _leading_int(ld["aggregateRating"]["ratingValue"]),
@@ -140,4 +140,7 @@ def extract_movies(
         _non_empty(F.array_join(ld["genre"], ", ")).alias("genre"),
         F.lit(scraped_at).alias("scraped_at"),
     )
-    return records.where(F.col("release_year").isNull() | (F.col("release_year") >= first_year))
+    # The year test sits inside the generator: as a filter it would be pushed below the extraction and make the
+    # scan parse every page a second time.
+    recent = F.filter(F.array(record), lambda r: r["release_year"].isNull() | (r["release_year"] >= first_year))
+    return parsed.select(F.inline(recent))

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    """Full refresh (or append) of a Parquet table."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    mode: str = "overwrite",
+    sort_by: list[str] | None = None,
+) -> None:
+    """Full refresh (or append) of a Parquet table.
+
+    ``sort_by`` range-partitions and sorts the rows, so that the min/max statistics of the files let a reader skip
+    most of them when it looks for a key or a key range.
+    """
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
