@@ -56,10 +56,6 @@ def clean_whitespace(df: DataFrame, columns: list[str] | None = None) -> DataFra
     )
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.when(F.trim(c) != "", c)
-
-
 def split_or_null(c: Column, pattern: str) -> Column:
     """Split a delimited text; NULL and '' give NULL instead of a one-element array."""
     return F.when(c != "", F.split(c, pattern))
@@ -87,7 +83,7 @@ def normalize_title(title: Column, ascii_only: bool = False) -> Column:
         return F.trim(F.regexp_replace(kept, r"\s+", " "))
     kept = F.regexp_replace(F.lower(strip_year_suffix(title)), _NOT_WORD_OR_SPACE, "")
     key = F.trim(F.regexp_replace(kept, r"\s+", " "))
-    return F.when(key != "", key)
+    return F.nullif(key, F.lit(""))
 
 
 def title_language(title: Column) -> Column:

@@ -55,8 +55,7 @@ def plain_text(markup: Column) -> Column:
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
     """First match, NULL instead of '' when there is none."""
-    hit = F.regexp_extract(text, pattern, group)
-    return F.when(hit != "", hit)
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
 def _leading_int(text: Column) -> Column:
@@ -64,7 +63,7 @@ def _leading_int(text: Column) -> Column:
 
 
 def _non_empty(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.nullif(text, F.lit(""))
 
 
 def _director_names(director_json: Column) -> Column:
