@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.functions.genres import canonical_genre, is_mapped_genre
@@ -10,7 +10,9 @@ from reelspark.functions.money import round_half_up
 from reelspark.operators.dedupe import first_per_key
 from reelspark.operators.joins import left_join_sparse, union_all
 from reelspark.operators.numbering import dense_key_of_names
-from reelspark.sources.readers import run_date
+from reelspark.plans.star import LOOKUP_KEYS
+from reelspark.sources import writers
+from reelspark.sources.readers import calendar, read_present, read_table, run_date
 
 _INT_MAX = 2_147_483_647
 
@@ -182,5 +184,48 @@ def build_bridge_genres(spine: DataFrame, silver_by_key: dict[str, DataFrame], d
         films = spine.where(F.col(key).isNotNull()).select("movie_id", key)
         parts.append(films.join(genres, key).select("movie_id", "genre_name"))
     return (
-        union_all(parts).join(dim_genre, "genre_name").select("movie_id", "genre_id").distinct()
+        union_all(parts).join(dim_genre.select("genre_id", "genre_name"), "genre_name").select("movie_id", "genre_id").distinct()
     )
+
+
+# Silver tables that carry genres, with the id that links them to the spine.
+GENRE_SOURCES = {
+    "movielens/movies": "ml_id",
+    "imdb/title_basics": "imdb_id",
+    "tmdb/movies": "tmdb_id",
+    "rotten_tomatoes/movies": "rt_slug",
+}
+
+
+def publish_all(spark: SparkSession, lake_root: str, date: str | None = None) -> None:
+    """Refresh the star from silver. Dimensions are written first; the bridges read them back instead of
+    computing them again. A missing genre source is skipped."""
+
+    def silver(name: str) -> DataFrame:
+        return read_table(spark, f"{lake_root}/silver/{name}")
+
+    def gold(name: str) -> DataFrame:
+        return read_table(spark, f"{lake_root}/gold/{name}")
+
+    def publish(name: str, df: DataFrame) -> None:
+        writers.write_table(
+            df.withColumn("created_date", run_date(date)), f"{lake_root}/gold/{name}", sort_by=[LOOKUP_KEYS[name]]
+        )
+
+    spine = silver("entity_spine")
+    imdb, ml, tmdb, rt = [
+        silver(t) for t in ("imdb/title_basics", "movielens/movies", "tmdb/movies", "rotten_tomatoes/movies")
+    ]
+    present = read_present(spark, [f"{lake_root}/silver/{t}" for t in GENRE_SOURCES])
+    by_key = {GENRE_SOURCES[path.removeprefix(f"{lake_root}/silver/")]: df for path, df in present.items()}
+
+    publish("dim_time", build_dim_time(calendar(spark)))
+    publish("dim_genre", build_dim_genre(list(by_key.values())))
+    publish("dim_person", build_dim_person(silver("imdb/name_basics")))
+    publish("dim_movie", build_dim_movie(spine, imdb, ml, tmdb, rt))
+    publish(
+        "fact_movie_metrics",
+        build_fact_metrics(spine, silver("movielens/ratings_agg"), silver("imdb/title_ratings"), rt, tmdb, date),
+    )
+    publish("bridge_movie_cast", build_bridge_cast(spine, silver("imdb/title_principals"), gold("dim_person")))
+    publish("bridge_movie_genres", build_bridge_genres(spine, by_key, gold("dim_genre")))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.functions.genres import genre_names_from_ids
 from reelspark.functions.money import parse_box_office
 from reelspark.functions.text import normalize_title, split_or_null, strip_year_suffix, year_suffix
-from reelspark.sources.readers import run_date
+from reelspark.sources import writers
+from reelspark.sources.readers import read_table, run_date
 
 # Fixed values.
 POSTER_BASE = "https://image.tmdb.org/t/p/w500"
@@ -159,3 +160,25 @@ def box_office_parse_flag(movies: DataFrame, column: str = "box_office") -> Data
     return movies.select(
         "*", amount.alias("box_office_revenue"), amount.isNotNull().alias("parse_success")
     )
+
+
+# Silver table -> its bronze table and the job between them.
+JOBS = {
+    "movielens/movies": ("movielens/movies", clean_ml_movies),
+    "movielens/ratings_agg": ("movielens/ratings", aggregate_ml_ratings),
+    "movielens/tags": ("movielens/tags", clean_ml_tags),
+    "imdb/title_basics": ("imdb/title_basics", clean_imdb_titles),
+    "imdb/title_ratings": ("imdb/title_ratings", clean_imdb_ratings),
+    "imdb/name_basics": ("imdb/name_basics", clean_imdb_names),
+    "imdb/title_principals": ("imdb/title_principals", clean_imdb_principals),
+    "imdb/title_crew": ("imdb/title_crew", clean_imdb_crew),
+    "tmdb/movies": ("tmdb/movies", clean_tmdb_movies),
+    "rotten_tomatoes/movies": ("rotten_tomatoes/movies", clean_rt_movies),
+}
+
+
+def refine_all(spark: SparkSession, lake_root: str, date: str | None = None) -> None:
+    """Refresh every silver table from bronze."""
+    for name, (source, job) in JOBS.items():
+        df = job(read_table(spark, f"{lake_root}/bronze/{source}"), date)
+        writers.write_table(df, f"{lake_root}/silver/{name}")

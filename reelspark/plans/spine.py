@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.functions.text import normalize_title, pad_imdb_id, strip_year_suffix, year_suffix
 from reelspark.operators.joins import left_join_sparse, union_all
 from reelspark.operators.numbering import serial_key
 from reelspark.session import cut_lineage
-from reelspark.sources.readers import run_date
+from reelspark.sources import writers
+from reelspark.sources.readers import read_table, run_date
 
 SPINE_IDS = {"ml_id": "int", "imdb_id": "string", "tmdb_id": "int", "rt_slug": "string", "rt_match_method": "string"}
 EXACT, FUZZY, UNMATCHED = "title_year_exact", "title_year_fuzzy", "unmatched"
@@ -149,3 +150,10 @@ def build_entity_spine(
     matched = core.join(matches, "ml_id", "left").select(*SPINE_IDS)
     entities = matched.unionByName(orphan_entities(inputs, matches))
     return serial_key(entities, spine_order(), "movie_id").withColumn("created_date", run_date(date))
+
+
+def resolve_all(spark: SparkSession, lake_root: str, date: str | None = None, **options) -> None:
+    """Refresh the silver entity spine from bronze."""
+    tables = ["movielens/links", "movielens/movies", "tmdb/movies", "imdb/title_basics", "rotten_tomatoes/movies"]
+    inputs = SpineInputs(*[read_table(spark, f"{lake_root}/bronze/{t}") for t in tables])
+    writers.write_table(build_entity_spine(inputs, date, **options), f"{lake_root}/silver/entity_spine")

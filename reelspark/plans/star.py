@@ -25,6 +25,8 @@ TABLES = [
     "bridge_movie_genres",
 ]
 
+AUDIT_COLUMNS = ["created_date", "cleaned_date", "ingest_date", "aggregated_date"]
+
 
 class Star:
     """The seven tables, each given as a DataFrame or as a function that opens it on first use.
@@ -55,7 +57,8 @@ class Star:
 
     def films(self, how: str = "inner") -> DataFrame:
         """Films with their metrics."""
-        return self.dim_movie.join(self.fact_movie_metrics.drop("time_id", "metric_id"), "movie_id", how)
+        metrics = self.fact_movie_metrics.drop("time_id", "metric_id", *AUDIT_COLUMNS)
+        return self.dim_movie.join(metrics, "movie_id", how)
 
 
 def read_star(spark: SparkSession, gold_root: str) -> Star:
@@ -130,9 +133,6 @@ LOOKUP_KEYS = {
 
 # --- Warehouse load -------------------------------------------------------------------------------------------
 
-AUDIT_COLUMNS = ["created_date", "cleaned_date", "ingest_date", "aggregated_date"]
-
-
 def warehouse_projection(df: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
     """Rows as a relational table takes them: no audit date, arrays as comma text, NaN and infinity as NULL, and
     columns cast to the target types; a value the target type cannot hold becomes NULL."""

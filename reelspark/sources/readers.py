@@ -36,6 +36,12 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df if columns is None else df.select(*columns)
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Saved HTML files as (url, html), one row per file; the file path stands for the address."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+
+
 def input_folder(spark: SparkSession, base: str, date: str | None = None) -> str:
     """Folder of one delivery: the given date, else the newest child folder by name, ``_*`` left aside.
 

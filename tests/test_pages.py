@@ -3,6 +3,7 @@
 import pytest
 
 from reelspark.sources.pages import discover_links, extract_movies
+from reelspark.sources.readers import read_pages
 
 JSON_LD = """<html><script type="application/ld+json">{"name": "Dune", "director": [{"name": "A B"}, {"x": 1}, {"name": "C D"}],
  "dateCreated": "released 1984-12-14", "contentRating": "PG-13", "genre": ["Sci-Fi", "Drama"], "aggregateRating": {"ratingValue": "40%"}}</script>
@@ -52,3 +53,10 @@ def test_links(spark):
     html = '<a href="/m/a"></a><a href="/m/b/reviews"></a><a href="/m/a"></a><a href="/tv/c"></a><a href="/m/d_2001">'
     df = spark.createDataFrame([(html,), ('<a href="/m/a">',)], "html string")
     assert sorted(r.slug for r in discover_links(df).collect()) == ["a", "d_2001"]
+
+
+def test_saved_pages(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "dune_1984.html").write_text(JSON_LD)
+    r = extract_movies(read_pages(spark, str(tmp_path / "m")), r"/m/([^/?#.]+)").first()
+    assert (r.slug, r.title, r.release_year) == ("dune_1984", "Dune", 1984)
