@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from harness.registry import QUERIES  # noqa: E402
+from reelcheck.registry import QUERIES  # noqa: E402
 from reelspark.session import local_session  # noqa: E402
 
 HEADLINE = [

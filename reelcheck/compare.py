@@ -1,4 +1,4 @@
-"""Run registered queries next to their DuckDB statements: ``python -m harness.compare [sf_dir] [name ...]``."""
+"""Run registered queries next to their DuckDB statements: ``python -m reelcheck.compare [sf_dir] [name ...]``."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import time
 
 import duckdb
 
-from harness.oracle import ORACLE
-from harness.registry import QUERIES
+from reelcheck.oracle import ORACLE
+from reelcheck.registry import QUERIES
 from reelspark.session import local_session
 
 TABLES = (

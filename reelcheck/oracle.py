@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from harness.registry import BRANDS, MIN_BUDGET, RUN_DATE
-from harness.source_mapping import source_sql
-from harness.star_mapping import STAR_SQL
+from reelcheck.registry import BRANDS, MIN_BUDGET, RUN_DATE
+from reelcheck.source_mapping import source_sql
+from reelcheck.star_mapping import STAR_SQL
 from reelspark.functions.genres import GENRE_SYNONYMS, TMDB_GENRES
 from reelspark.functions.text import LANGUAGE_PATTERNS
 

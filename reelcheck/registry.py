@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness.source_mapping import source, spine_inputs
-from harness.star_mapping import star_of, table
+from reelcheck.source_mapping import source, spine_inputs
+from reelcheck.star_mapping import star_of, table
 from reelspark.functions.genres import canonical_genre, genre_names_from_ids
 from reelspark.functions.money import parse_box_office
 from reelspark.functions.text import clean_whitespace, normalize_title, replace_null_strings

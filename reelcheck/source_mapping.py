@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harness.star_mapping import table
+from reelcheck.star_mapping import table
 from reelspark.plans.spine import SpineInputs
 
 # Each mapping is one list of expressions that both engines read the same way.

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
-from harness.compare import oracle_connection, difference
+from reelcheck.compare import oracle_connection, difference
 
 SF_DIR = os.environ.get("REGISTERED_SF_DIR", "/root/testdata/sf0.001")
 # Hashes that DuckDB does not have.
