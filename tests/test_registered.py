@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as driver
-from reelcheck.compare import oracle_connection, difference
+from reelcheck.compare import difference, oracle_connection
+from reelcheck.oracle import ORACLE
+from reelcheck.registry import QUERIES
 
 SF_DIR = os.environ.get("REGISTERED_SF_DIR", "/root/testdata/sf0.001")
 # Hashes that DuckDB does not have.
@@ -20,26 +22,26 @@ def oracle():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == ROWS_ONLY
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows_as_duckdb(spark, oracle, name):
     assert difference(spark, oracle, SF_DIR, name) is None
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_rules(spark, name):
     """No Python in the plan, no cartesian product, and no nested-loop join."""
-    df = driver.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython"):
         assert banned not in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = driver.queries()["movies_per_year"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["movies_per_year"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "o_orderdate" in line]
     assert scans and all("o_totalprice" not in s for s in scans)
 
