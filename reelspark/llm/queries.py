@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import decontamination, packing, quality_rules
+from reelspark.llm import decontamination, html_text, packing, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,20 @@ def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op5_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return url_filter.apply_rules(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -25,9 +39,35 @@ def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_arrays": op3_suffix_arrays,
+    "op5_bloom_cascade": op5_bloom_cascade,
     "op6_quality_rules": op6_quality_rules,
     "op8_vector_packing": op8_vector_packing,
+    "op10_line_blocks": op10_line_blocks,
+}
+ORACLE: dict[str, str] = {
+    "op5_bloom_cascade": r"""
+        WITH urls AS (
+            SELECT page_id,
+                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages
+        ), rules(action, h, p) AS (
+            VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+        ), best AS (
+            SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS verdict
+            FROM (SELECT DISTINCT host, path FROM urls)
+            JOIN rules ON (host = h OR suffix(host, '.' || h)) AND prefix(path, p)
+            GROUP BY host, path
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM urls LEFT JOIN best USING (host, path)
+    """,
 }
-ORACLE: dict[str, str] = {}
