@@ -56,30 +56,38 @@ def key_hash(key: str) -> int:
     return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), SEED)
 
 
+def level_hash(h: int, level: int) -> int:
+    """A hash of its own for each level, else two keys that collide once would collide on all levels. As Spark's xxhash64(h, level)."""
+    first = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), SEED)
+    return xxhash.xxh64_intdigest(level.to_bytes(8, "little"), first)
+
+
 @dataclass(frozen=True)
 class Bloom:
     bits: np.ndarray  # uint64 words
     size: int  # in bits
     hashes: int
+    level: int
 
     def __contains__(self, h: int) -> bool:
-        step = (h >> 32) | 1
-        low = h & 0xFFFFFFFF
+        h = level_hash(h, self.level)
+        low, step = h & 0xFFFFFFFF, (h >> 32) | 1
         return all(int(self.bits[(p := (low + i * step) % self.size) >> 6]) >> (p & 63) & 1 for i in range(self.hashes))
 
 
 def _positions(hashes: int, size: int) -> Column:
-    """The bit positions of a key's 64-bit hash `h`, as in Bloom.__contains__."""
+    """The bit positions of a level's hash `h`, as in Bloom.__contains__."""
     low, step = F.expr("h & 4294967295L"), F.expr("shiftrightunsigned(h, 32) | 1L")
     return F.array(*((low + i * step) % size for i in range(hashes)))
 
 
-def bloom(keys: DataFrame, count: int, bits_per_key: float) -> Bloom:
+def bloom(keys: DataFrame, count: int, bits_per_key: float, level: int) -> Bloom:
     """A filter of the hashes in column h. Bits are combined in the cluster; the driver gets the finished words."""
     size = max(64, 64 * math.ceil(count * bits_per_key / 64))
     hashes = max(1, round(bits_per_key * math.log(2)))
     words = (
-        keys.select(F.explode(_positions(hashes, size)).alias("p"))
+        keys.select(F.xxhash64("h", F.lit(level).cast("bigint")).alias("h"))
+        .select(F.explode(_positions(hashes, size)).alias("p"))
         .groupBy(F.expr("p div 64").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
         .collect()  # size / 64 rows at most; the caller has checked the size
@@ -87,7 +95,7 @@ def bloom(keys: DataFrame, count: int, bits_per_key: float) -> Bloom:
     bits = np.zeros(size // 64, np.int64)
     for w in words:
         bits[w["word"]] = w["bits"]
-    return Bloom(bits.view(np.uint64), size, hashes)
+    return Bloom(bits.view(np.uint64), size, hashes, level)
 
 
 @dataclass(frozen=True)
@@ -123,11 +131,11 @@ def _passing(urls: DataFrame, lengths: list[int], level: Bloom) -> DataFrame:
 
 def build_cascade(urls: DataFrame, listed: DataFrame, count: int, lengths: list[int], bits_per_key: float) -> Cascade:
     """Exact on every key of `urls` and every listed key."""
-    levels = [bloom(listed, count, bits_per_key)]
+    levels = [bloom(listed, count, bits_per_key, 0)]
     # Distinct keys, so no key is hot on either side of this join; it runs once, over the errors of level 1.
     inside, outside = listed, cut_lineage(_passing(urls, lengths, levels[0]).join(listed, "h", "left_anti"))
     while n := outside.count():
-        levels.append(bloom(outside, n, bits_per_key))
+        levels.append(bloom(outside, n, bits_per_key, len(levels)))
         sent = urls.sparkSession.sparkContext.broadcast(levels[-1])
 
         def passes(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
