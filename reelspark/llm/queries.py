@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_rules, url_filter
+from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -48,10 +56,12 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quadratic_discriminant": op1_quadratic_discriminant,
     "op2_hamming_join": op2_hamming_join,
     "op3_suffix_arrays": op3_suffix_arrays,
     "op5_bloom_cascade": op5_bloom_cascade,
     "op6_quality_rules": op6_quality_rules,
+    "op7_compression_distance": op7_compression_distance,
     "op8_vector_packing": op8_vector_packing,
     "op10_line_blocks": op10_line_blocks,
 }
