@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, toxicity, url_filter
+from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, stupid_backoff, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = stupid_backoff.score_documents(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "n_known", F.round("score", 4).alias("score"))
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quadratic_discriminant": op1_quadratic_discriminant,
     "op2_hamming_join": op2_hamming_join,
     "op3_suffix_arrays": op3_suffix_arrays,
+    "op4_stupid_backoff": op4_stupid_backoff,
     "op5_bloom_cascade": op5_bloom_cascade,
     "op6_quality_rules": op6_quality_rules,
     "op7_compression_distance": op7_compression_distance,
@@ -66,6 +73,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_blocks": op10_line_blocks,
 }
 ORACLE: dict[str, str] = {
+    "op4_stupid_backoff": r"""
+        WITH texts AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), places AS (
+            SELECT doc_id, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v
+            FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM texts)
+        ), unigrams AS (
+            SELECT w, count(*) AS c FROM places GROUP BY w
+        ), bigrams AS (
+            SELECT v, w, count(*) AS c2 FROM places WHERE v IS NOT NULL GROUP BY v, w HAVING count(*) >= 2
+        ), sums AS (
+            SELECT doc_id, count(c2) AS n_known,
+                sum(ln(CASE WHEN p.v IS NULL THEN u.c / (SELECT sum(c) FROM unigrams)
+                    WHEN c2 IS NOT NULL THEN c2 / x.c ELSE 0.4 * u.c / (SELECT sum(c) FROM unigrams) END)) AS log_prob
+            FROM places p JOIN unigrams u ON p.w = u.w LEFT JOIN unigrams x ON p.v = x.w
+            LEFT JOIN bigrams b ON p.v = b.v AND p.w = b.w
+            GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_known, 0) AS n_known, round(log_prob / len(words), 4) AS score
+        FROM texts LEFT JOIN sums USING (doc_id)
+    """,
     "op5_bloom_cascade": r"""
         WITH urls AS (
             SELECT page_id,
