@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, stupid_backoff, toxicity, url_filter
+from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,12 @@ def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.captures_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_compression_distance": op7_compression_distance,
     "op8_vector_packing": op8_vector_packing,
+    "op9_revisits": op9_revisits,
     "op10_line_blocks": op10_line_blocks,
 }
 ORACLE: dict[str, str] = {
