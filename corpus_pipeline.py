@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import quality_rules
+from reelspark.llm import decontamination, near_duplicates, packing, quality_rules, toxicity
+from reelspark.session import ensure_checkpoint_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,15 +15,43 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.keep_good(docs)
 
 
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't found toxic."""
+    return toxicity.keep_ordinary(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the smallest doc_id."""
+    return near_duplicates.keep_one(docs)
+
+
+def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: the place of every piece of every document."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality_rules", keep_quality),
+    ("toxicity", keep_civil),
+    ("near_duplicates", keep_distinct),
+    ("decontamination", keep_unseen),
+    ("packing", pack),
 ]
 # Labels learnt from votes, trained dictionaries and packing are not SQL; tests/llm/ compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents. Each is written as Parquet to the shared checkpoint folder and read again by the next."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
