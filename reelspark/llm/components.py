@@ -1,32 +1,71 @@
-"""Connected components of an edge table, by smallest labels and pointer jumping."""
+"""Connected components of an edge table by rounds of local union-find."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.session import cut_lineage
 
+SALTS = 8
+
+
+class Unions(dict):
+    """Union-find over numbers; the root is the smallest."""
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.get(root, root)) != root:
+            root = up
+        while (up := self.get(x, x)) != root:
+            self[x] = root
+            x = up
+        return root
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Joins all edges of a partition; gives each edge's ends their root, once for each edge."""
+    unions, ends = Unions(), set()
+    for batch in batches:
+        a, b, told = (c.to_pylist() for c in batch.columns)
+        for x, y, t in zip(a, b, told):
+            unions.join(x, y)
+            if t:
+                ends.update((x, y))
+    rows = sorted((x, r) for x in ends if (r := unions.find(x)) != x)
+    yield pa.RecordBatch.from_arrays([pa.array(np.array([r[k] for r in rows], np.int64)) for k in (0, 1)], ["a", "b"])
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """node, component (smallest node that can be reached) for all nodes of edges (a, b).
+    """node, component (smallest node that can be reached) for all nodes of edges (a, b) with two different ends.
 
-    Each round a node takes the smallest label around it and then the label of its label, so that chains shrink to
-    stars in few rounds. Rounds are checkpointed; nothing but a count of changes reaches the driver. Edges with a NULL
-    end are dropped; an empty table gives no rows.
+    An edge is kept as (larger end, smaller end). In each round it meets the edges of its larger end, and the edges that lead
+    on from its smaller end; a partition joins what has met and points everything to the smallest node. The edges that lead
+    on from a node are copied to SALTS places, so that the many edges of a hub needn't meet in one of them. Rounds end when
+    nothing changes. They are checkpointed, and only a count and a checksum reach the driver. Edges with a NULL end are
+    dropped; an empty table gives no rows.
     """
-    edges = edges.dropna(subset=["a", "b"]).where("a != b")
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")))
+    ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+    edges = edges.dropna(subset=["a", "b"]).where("a != b").select(*ends).distinct()
+    before = None
     while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        near = labels.join(around, labels.node == around.a).select(
-            "node", F.least("component", "near").alias("component"), F.col("component").alias("old")
-        )
-        of_label = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        new = cut_lineage(
-            near.join(of_label, "component", "left").select("node", F.least("component", "far").alias("component"), "old")
-        )
-        labels = new.drop("old")
-        if not new.where("component != old").limit(1).count():
-            return labels
+        on = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        leads = edges.select("a", "b", F.col("a").alias("node"), on.alias("salt"))
+        leads = leads.withColumn("told", F.col("salt") == F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+        comes = edges.select("a", "b", F.col("b").alias("node"), F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(True).alias("told"))
+        met = leads.union(comes).repartition("node", "salt").select("a", "b", "told")
+        edges = cut_lineage(met.mapInArrow(_contract, "a bigint, b bigint").distinct())
+        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == before or not now[0]:
+            break
+        before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())

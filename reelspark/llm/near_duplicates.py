@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.components import connected_components
+from reelspark.llm.components import Unions, connected_components
 from reelspark.session import cut_lineage
 
 SHINGLE = 3
@@ -124,24 +124,6 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(run, "key bigint, node bigint")
 
 
-class Unions(dict):
-    """Union-find over numbers; the root is the smallest."""
-
-    def find(self, x: int) -> int:
-        root = x
-        while (up := self.get(root, root)) != root:
-            root = up
-        while (up := self.get(x, x)) != root:
-            self[x] = root
-            x = up
-        return root
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self[max(a, b)] = min(a, b)
-
-
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with whole groups of equal keys; input sorted by keys. A group is bounded by how its rows were dealt out."""
     held: pa.Table | None = None
@@ -190,7 +172,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(len(n) - 1):
                 for m in n[k + 1 :][(s[k + 1 :] != s[k]).sum(axis=1) <= MAX_DISTANCE].tolist():
                     unions.join(int(n[k]), m)
-    pairs = [(x, unions.find(x)) for x in list(unions)]
+    pairs = [(x, unions.find(x)) for x in list(unions)]  # roots have no entry
     yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
@@ -201,17 +183,19 @@ def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """node, component: classes that are joined by chains of signatures within MAX_DISTANCE. classes: node, signature."""
     keys = chunk_keys(classes)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut_lineage(keys.join(shared, "key").select("key", "node", "n"))
+    prints = [F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mark")]
+    shared = keys.groupBy("key").agg(*prints).where("n > 1")
     # Many keys of a group of copies have the same members: one of them is enough.
-    prints = members.groupBy("key", "n").agg(F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mark"))
-    single = prints.groupBy("n", "low", "mark").agg(F.min("key").alias("key")).select("key")
-    members = members.join(single, "key", "left_semi").join(classes, "node")
+    single = shared.groupBy("n", "low", "mark").agg(F.min("key").alias("key"))
+    members = keys.join(single.select("key", "n"), "key").join(classes, "node")
     blocks = F.ceil(F.col("n") / KEY_BLOCK).cast("int")
     members = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     members = members.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "signature")
-    return connected_components(_dealt(members, "key", "i", "j").mapInArrow(_near, "a bigint, b bigint"))
+    # A task gives one row for each of its nodes, so few large tasks say less twice than many small ones.
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4, 8)
+    members = members.repartition("key", "i", "j").coalesce(parts).sortWithinPartitions("key", "i", "j")
+    return cut_lineage(connected_components(members.mapInArrow(_near, "a bigint, b bigint")))
 
 
 def _linked(nodes: list[int], sets: list[np.ndarray], sides: tuple[np.ndarray, np.ndarray] | None, unions: Unions) -> None:
@@ -249,7 +233,7 @@ def _confirm(keys: list[str], two_sided: bool) -> Callable[[Iterator[pa.RecordBa
                 full = [k for k, s in enumerate(sets) if len(s)]
                 sides = (left[lo:hi][full], ~left[lo:hi][full]) if two_sided else None
                 _linked([nodes[lo + k] for k in full], [sets[k] for k in full], sides, unions)
-                out.extend((x, unions.find(x)) for x in dict.fromkeys(nodes[lo:hi]))
+                out.extend((x, unions.find(x)) for x in dict.fromkeys(nodes[lo:hi]) if unions.find(x) != x)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
@@ -283,7 +267,7 @@ def member_texts(docs: DataFrame, groups: DataFrame) -> DataFrame:
                 yield batch.select([0, 1]).filter(pa.array(known[at].all(axis=1)))
 
         chosen = chosen.withColumn("places", places).mapInArrow(maybe, "node bigint, text string")
-    return chosen.join(groups, "node").distinct()
+    return chosen.join(groups, "node")
 
 
 def link_components(docs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -301,7 +285,7 @@ def link_components(docs: DataFrame, groups: DataFrame) -> DataFrame:
     links = _dealt(first, "component", "block").mapInArrow(_confirm(["component", "block"], False), "a bigint, b bigint")
     links = cut_lineage(links)
     if not large.limit(1).count():  # every group was one block, so roots are final
-        return links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+        return links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))  # nodes that are roots are left out
     part = connected_components(links).withColumnRenamed("component", "part")
     state = cut_lineage(large.join(part, "node", "left").select("node", "component", F.coalesce("part", "node").alias("part")))
     counts = state.groupBy("component", "part").agg(F.count("*").alias("m"))
