@@ -204,5 +204,14 @@ def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that the rules keep, with their columns as they were."""
     stats = with_stats(docs, out="__rules_stats")
     model = fit(cut_lineage(stats.select("__rules_stats")), "__rules_stats")
-    kept = judged(stats, model, "__rules_stats", threshold)[2]
-    return stats.where(kept).select(*(F.col(f"`{c}`") for c in docs.columns))
+    votes = rule_votes(F.col("__rules_stats"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # The row number keeps the filter above the projections: pushed down, it would compute all statistics once for each vote.
+    voted = stats.select(
+        *own,
+        base_failed(F.col("__rules_stats")).alias("__rules_failed"),
+        *(v.alias(f"__rules_{k}") for k, v in votes.items()),
+        F.monotonically_increasing_id().alias("__rules_row"),
+    )
+    posterior = model.posterior({k: F.col(f"__rules_{k}") for k in RULES})
+    return voted.where((F.col("__rules_row") >= 0) & ~F.col("__rules_failed") & (posterior >= threshold)).select(*own)
