@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelcheck.registry import BRANDS, MIN_BUDGET, RUN_DATE
+from reelcheck.registry import MIN_BUDGET, RUN_DATE
 from reelcheck.source_mapping import source_sql
 from reelcheck.star_mapping import STAR_SQL
 from reelspark.functions.genres import GENRE_SYNONYMS, TMDB_GENRES
@@ -231,13 +231,17 @@ def _shares(kept: str) -> str:
 
 
 _TOP_GENRES = f"genre_name IN (SELECT genre_name FROM ({_SHARE}) s GROUP BY 1 ORDER BY SUM(count) DESC, genre_name LIMIT 8)"
+_LEADING = f"SELECT genre_name, ROW_NUMBER() OVER (ORDER BY SUM(count) DESC, genre_name) AS rank FROM ({_SHARE}) s GROUP BY 1"
 _PIVOTED = ", ".join(
-    f"COALESCE(MAX(share) FILTER (WHERE genre_name = {_q(b)}), 0.0) AS \"{b}\"" for b in BRANDS
+    f"(SELECT genre_name FROM ({_LEADING}) l WHERE rank = {i}) AS genre_{i}, "
+    f"COALESCE(CAST(SUM(count) FILTER (WHERE rank = {i}) AS DOUBLE) / SUM(count) FILTER (WHERE rank <= 8) * 100, 0.0) AS share_{i}"
+    for i in range(1, 9)
 )
 
 DASHBOARD = {
     "genre_shares": _shares(_TOP_GENRES),
-    "genre_share_pivot": f"SELECT decade, {_PIVOTED} FROM ({_shares('TRUE')}) p GROUP BY decade",
+    "genre_share_pivot": f"""SELECT decade, {_PIVOTED}, CAST(COALESCE(SUM(count) FILTER (WHERE rank > 8), 0) AS BIGINT) AS other_films
+      FROM ({_SHARE}) p JOIN ({_LEADING}) r USING (genre_name) GROUP BY decade""",
     "overview_kpis": f"""SELECT CAST((SELECT SUM(count) FROM ({_PER_YEAR}) a WHERE year BETWEEN 1950 AND 2025) AS BIGINT) AS total_movies,
       (SELECT year FROM ({_PER_YEAR}) b WHERE year BETWEEN 1950 AND 2025 ORDER BY count DESC, year LIMIT 1) AS peak_year,
       (SELECT CAST(SUM(bin * count) AS DOUBLE) / SUM(count) FROM ({_BINS}) c) AS avg_rating,
@@ -302,7 +306,7 @@ _SILVER = f"""
 s_ml AS (SELECT movieId AS ml_id, {_ML_TITLE} AS title, {_ML_YEAR} AS year,
   CASE WHEN genres <> '(no genres listed)' THEN string_split(genres, '|') END AS genres_array, genres AS genres_raw,
   {_DAY} AS cleaned_date FROM ml_movies),
-s_ml_ratings AS (SELECT movieId AS ml_id, AVG(rating) AS ml_avg_rating, COUNT(rating) AS ml_rating_count FROM ratings GROUP BY 1),
+s_ml_ratings AS (SELECT movieId AS ml_id, {_avg('rating')} AS ml_avg_rating, COUNT(rating) AS ml_rating_count FROM ratings GROUP BY 1),
 s_tags AS (SELECT userId AS user_id, movieId AS ml_id, TRIM(tag) AS tag, timestamp, {_DAY} AS cleaned_date FROM tags WHERE TRIM(tag) <> ''),
 s_imdb AS (SELECT tconst AS imdb_id, TRIM(primaryTitle) AS primary_title, TRIM(originalTitle) AS original_title,
   TRY_CAST(startYear AS INT) AS year, TRY_CAST(runtimeMinutes AS INT) AS runtime_minutes, TRY_CAST(isAdult AS INT) AS is_adult,
@@ -375,7 +379,7 @@ SILVER = {
     ),
     "normalize_genre": _silver(f"SELECT genre, {_canonical('genre')} AS genre_name, COUNT(*) AS uses FROM ({_RAW_GENRES}) g GROUP BY genre"),
     "clean_movies": _silver(_flat("s_ml", "genres_array")),
-    "ratings_agg": _silver("SELECT ml_id, ROUND(ml_avg_rating, 6) AS ml_avg_rating, ml_rating_count FROM s_ml_ratings"),
+    "ratings_agg": _silver("SELECT ml_id, ml_avg_rating, ml_rating_count FROM s_ml_ratings"),
     "clean_tags": _silver(_flat("s_tags")),
     "clean_imdb_titles": _silver(_flat("s_imdb", "genres_array")),
     "clean_imdb_ratings": _silver(_flat("s_imdb_ratings")),
@@ -433,6 +437,32 @@ spine AS (SELECT ROW_NUMBER() OVER (ORDER BY CASE WHEN imdb_id IS NOT NULL THEN
 
 
 _SAME_YEAR = "core.k = rt.k AND core.y = rt.y"
+# Constants of the XXH64 hash (fixed values).
+_P1, _P2, _P3, _P5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 2870177450012600261
+
+
+def _xxh_int(source: str, value: str) -> str:
+    """XXH64 of a 4-byte value with the hash so far (column h) as seed, modulo 2^64 in wider integers."""
+
+    def mod(x: str) -> str:
+        return f"(({x}) % {1 << 64}::UHUGEINT)"
+
+    def xor(a: str, b: str) -> str:
+        return f"CAST(xor(CAST({a} AS UBIGINT), CAST({b} AS UBIGINT)) AS UHUGEINT)"
+
+    wide = f"CAST({value} AS UHUGEINT)"
+    steps = [
+        xor(mod(f"CAST(h AS UHUGEINT) + {_P5}::UHUGEINT + 4"), mod(f"{wide} * {_P1}::UHUGEINT")),
+        mod(f"({mod(f'h * {1 << 23}')} + h // {1 << 41}) * {_P2}::UHUGEINT + {_P3}::UHUGEINT"),
+        mod(f"{xor('h', f'h // {1 << 33}')} * {_P2}::UHUGEINT"),
+        mod(f"{xor('h', f'h // {1 << 29}')} * {_P3}::UHUGEINT"),
+        xor("h", f"h // {1 << 32}"),
+    ]
+    for step in steps:
+        source = f"SELECT movie_id, {step} AS h FROM ({source}) t"
+    return source
+
+
 _SPINE = _matching_ctes(_title_key, _SAME_YEAR)
 _SPINE_SOURCES = ["links", "ml_movies", "tmdb_movies", "title_basics", "rt_movies"]
 
@@ -472,6 +502,11 @@ GOLD = {
         LEFT JOIN s_tmdb t ON t.tmdb_id = s.tmdb_id LEFT JOIN s_rt r ON r.rt_slug = s.rt_slug""",
         _SPINE,
     ),
+    "fact_metric_ids": _silver(
+        f"""SELECT movie_id, CAST(CASE WHEN h >= {1 << 63} THEN CAST(h AS HUGEINT) - {1 << 64} ELSE CAST(h AS HUGEINT) END AS BIGINT)
+        AS metric_id FROM ({_xxh_int(_xxh_int("SELECT movie_id, 42 AS h FROM spine", "movie_id"), RUN_DATE.replace("-", ""))}) x""",
+        _SPINE,
+    ),
     "fact_metrics": _silver(
         f"""SELECT s.movie_id, {int(RUN_DATE.replace('-', ''))} AS time_id, {_rnd('a.ml_avg_rating', 2)} AS ml_avg_rating, a.ml_rating_count,
         i.imdb_rating, i.imdb_votes, t.tmdb_rating, t.tmdb_votes, t.popularity AS tmdb_popularity, r.tomatometer_score,

@@ -41,8 +41,6 @@ from reelspark.sources import pages as page_jobs
 
 RUN_DATE = "2024-01-15"
 MIN_BUDGET = 1000
-# The genre vocabulary of the driver's data (fixed values).
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 PAGE_LINK = r'href="/([^"/]+)"'
 PAGE_SLUG = r"^https?://[^/]+/([^?#]*)"
 
@@ -139,7 +137,7 @@ def _spine(spark, sf_dir, **options):
 
 def _ratings_agg(spark, sf_dir):
     per_film = _silver(spark, sf_dir, "ml_ratings")
-    return per_film.select("ml_id", F.round("ml_avg_rating", 6).alias("ml_avg_rating"), "ml_rating_count")
+    return per_film.select("ml_id", "ml_avg_rating", "ml_rating_count")
 
 
 def _entity_spine(spark, sf_dir):
@@ -384,7 +382,7 @@ QUERIES: dict[str, Query] = {
     "v_movie_cast": _on_star(star_jobs.v_movie_cast),
     # dashboard
     "genre_shares": _on_star(dashboard.genre_shares),
-    "genre_share_pivot": _on_star(dashboard.genre_share_pivot, genre_names=BRANDS),
+    "genre_share_pivot": _on_star(dashboard.genre_share_pivot),
     "overview_kpis": _overview_kpis,
     "platform_normalized": _on_star(dashboard.platform_normalized),
     "genre_cooccurrence_matrix": _on_star(dashboard.genre_cooccurrence_matrix),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from reelspark.operators.joins import prefixed, same_key
@@ -14,13 +14,17 @@ _SLICES = 4096
 # Larger than any |ln(double)| * _SLICES, so the sign keeps the order of slices.
 _SPAN = 1 << 22
 _NO_VALUE = -(1 << 40)
+# Infinity and NaN (the greatest value, as in PostgreSQL) have slices of their own.
+_INFINITE, _NAN = 1 << 30, 1 << 31
 
 
 def _slice_of(value: Column) -> Column:
     """Order-preserving slice number of a double: values of a lower slice are all smaller."""
     size = F.floor(F.ln(F.abs(value)) * _SLICES)
     return (
-        F.when(value > 0, size + _SPAN)
+        F.when(F.isnan(value), F.lit(_NAN))
+        .when(F.abs(value) == float("inf"), F.signum(value) * _INFINITE)
+        .when(value > 0, size + _SPAN)
         .when(value < 0, -(size + _SPAN))
         .when(value == 0, F.lit(0))
         .otherwise(F.lit(_NO_VALUE))
@@ -28,6 +32,12 @@ def _slice_of(value: Column) -> Column:
     )
 
 
+def _total(name: str, whole: bool, over: WindowSpec | None = None) -> Column:
+    """Sum of a column; a decimal keeps its type, as Spark would otherwise widen it at each step."""
+    total = F.sum(name) if over is None else F.sum(name).over(over)
+    return (total.cast("decimal(38,0)") if whole else total).alias(name)
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: list[str],
@@ -35,25 +45,26 @@ def exact_percentiles(
     probabilities: dict[str, float],
     row_count: str = "row_count",
     sums: dict[str, Column] | None = None,
-    bounded_groups: bool = False,
 ) -> DataFrame:
     """Per group: number of rows, sums, and percentiles interpolated like SQL ``percentile_cont``.
 
-    The built-in ``percentile`` keeps a whole group in one task. Here a histogram of narrow slices (combined map
-    side, a bounded number of rows per group) shows which slice holds each wanted rank; only the rows of those
-    slices are then counted by value and ranked, each slice on its own. NULL values count as rows only.
-
-    ``bounded_groups`` says that the keys come from a small vocabulary (genres, years). The slice list, at most two
-    rows per group and percentile, is then broadcast and the rows are filtered where they are; otherwise they are
-    shuffled by group and slice, which spreads a hot group over its slices.
+    The built-in ``percentile`` keeps a whole group in one task. Here rows are folded by group and value first
+    (combined map side, so one value of a hot group is one row a task). A histogram of narrow slices over the folded rows
+    shows which slice holds each wanted rank, and only values of those slices are ranked, each slice on its own.
+    Both read the same folded rows. NULL values count as rows only; NaN is the greatest value. Sums of whole numbers are
+    decimal, so they don't overflow. The slice list (two rows for each group and percentile at most) is broadcast
+    if Spark finds it small.
     """
     sums = sums or {}
-    sliced = df.withColumn("_v", F.col(value).cast("double")).withColumn("_slice", _slice_of(F.col("_v")))
-    sliced = sliced.where(~F.isnan(F.coalesce("_v", F.lit(0.0))))
+    typed = df.withColumns({"_v": F.col(value).cast("double"), **{f"_s_{k}": c for k, c in sums.items()}})
+    whole = {k for k in sums if typed.schema[f"_s_{k}"].dataType.typeName() in ("long", "integer", "short", "byte")}
+    addend = {k: F.col(f"_s_{k}").cast("decimal(38,0)") if k in whole else F.col(f"_s_{k}") for k in sums}
+    folded = typed.groupBy(*keys, "_v").agg(F.count("*").alias("_rows"), *[F.sum(c).alias(k) for k, c in addend.items()])
+    sliced = folded.withColumn("_slice", _slice_of(F.col("_v")))
     histogram = sliced.groupBy(*keys, "_slice").agg(
-        F.count("*").alias("_rows"),
-        F.count("_v").alias("_filled"),
-        *[F.sum(c).alias(name) for name, c in sums.items()],
+        F.sum("_rows").alias("_rows"),
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0)).alias("_filled"),
+        *[_total(name, name in whole) for name in sums],
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -64,7 +75,7 @@ def exact_percentiles(
         F.sum("_filled").over(group).alias("_n"),
         (F.sum("_filled").over(upto) - F.col("_filled")).alias("_below"),
         F.sum("_filled").over(upto).alias("_upto"),
-        *[F.sum(name).over(group).alias(name) for name in sums],
+        *[_total(name, name in whole, group) for name in sums],
     )
 
     def position(p: float) -> Column:
@@ -79,18 +90,15 @@ def exact_percentiles(
     targets = placed.where(holds_a_rank | (F.col("_n") == 0)).select(*keys, "_slice", *carried)
 
     place = [*keys, "_slice"]
-    if bounded_groups:
-        targets = F.broadcast(targets)
     picked = (
-        sliced.select(*place, "_v")
+        sliced.select(*place, "_v", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0).alias("_copies"))
         .join(prefixed(targets, place), same_key(place))
-        .select(*place, "_v", *carried)
+        .select(*place, "_v", "_copies", *carried)
     )
-    by_value = picked.groupBy(*keys, "_slice", "_v", *carried).agg(F.count("_v").alias("_copies"))
     in_slice = (
         Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = by_value.withColumn("_end", F.col("_below") + F.sum("_copies").over(in_slice)).withColumn(
+    ranked = picked.withColumn("_end", F.col("_below") + F.sum("_copies").over(in_slice)).withColumn(
         "_start", F.col("_end") - F.col("_copies")
     )
 
@@ -109,7 +117,8 @@ def exact_percentiles(
         row_count,
         *sums,
         *[
-            (
+            F.when(F.col(f"_low{i}") == F.col(f"_high{i}"), F.col(f"_low{i}"))
+            .otherwise(
                 F.col(f"_low{i}")
                 + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (position(p) - F.floor(position(p)))
             ).alias(name)

@@ -66,7 +66,8 @@ def ingest_all(spark: SparkSession, raw_root: str, lake_root: str, date: str | N
 
 
 def enrich_box_office(movies: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:
-    """Attach budget and revenue. A film without details keeps NULL money; money missing in its details is 0."""
+    """Attach budget and revenue. A film without details keeps NULL money; money missing in its details is 0; of
+    several details of a film the smallest row is taken."""
     money = ["budget", "revenue"]
     found = details.select(key, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in money])
-    return movies.drop(*money).join(found, key, "left")
+    return movies.drop(*money).join(first_per_key(found.where(F.col(key).isNotNull()), [key]), key, "left")

@@ -25,15 +25,27 @@ def genre_shares(star: Star, top: int = 8, names: list[str] | None = None) -> Da
     return kept.select("decade", "genre_name", (F.col("count") / of_decade * 100).alias("share"))
 
 
-def genre_share_pivot(star: Star, genre_names: list[str]) -> DataFrame:
-    """The shares as one row per decade and one column per named genre; a genre absent from a decade has 0.
+def genre_share_pivot(star: Star, top: int = 8) -> DataFrame:
+    """One row per decade with, for the genres of rank 1 to ``top`` in the data, the name and its share of all films
+    in leading genres (0 where absent), and ``other_films``: the films of the genres left out.
 
-    The column list is explicit, so the plan does not depend on a look at the data.
+    Columns are named by rank, so neither the plan nor the schema depends on a look at the data.
     """
-    shares = genre_shares(star, names=genre_names)
-    wide = shares.groupBy("decade").pivot("genre_name", genre_names).agg(F.sum("share"))
-    filled = [F.coalesce(F.col(f"`{g}`"), F.lit(0.0)).alias(g) for g in genre_names]
-    return wide.select("decade", *filled).orderBy("decade")
+    counts = genres.genre_share_by_decade(star)
+    totals = counts.groupBy("genre_name").agg(F.sum("count").alias("total"))
+    order = [F.desc("total"), F.col("genre_name")]
+    # ``top`` rows, so this window is no gathering of the data.
+    leading = totals.orderBy(*order).limit(top).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    ranked = counts.join(leading, "genre_name", "left")
+    cell = {i: F.sum(F.when(F.col("rank") == i, F.col("count"))) for i in range(1, top + 1)}
+    of_leading = F.sum(F.when(F.col("rank").isNotNull(), F.col("count")))
+    wide = ranked.groupBy("decade").agg(
+        *[F.coalesce(cell[i] / of_leading * 100, F.lit(0.0)).alias(f"share_{i}") for i in cell],
+        F.coalesce(F.sum(F.when(F.col("rank").isNull(), F.col("count"))), F.lit(0)).alias("other_films"),
+    )
+    names = leading.agg(*[F.max(F.when(F.col("rank") == i, F.col("genre_name"))).alias(f"genre_{i}") for i in cell])
+    columns = [c for i in cell for c in (f"genre_{i}", f"share_{i}")]
+    return wide.join(F.broadcast(names.withColumn("_all", F.lit(1))), F.col("_all") == F.lit(1)).select("decade", *columns, "other_films")
 
 
 def overview_kpis(star: Star, titles: DataFrame | None = None, start_year: int = 1950, end_year: int = 2025) -> DataFrame:

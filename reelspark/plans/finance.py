@@ -121,7 +121,6 @@ def genre_profitability(
         {"median": 0.5, "p25": 0.25, "p75": 0.75},
         row_count="movie_count",
         sums={"profit_sum": F.col("profit")},
-        bounded_groups=True,
     )
     return (
         stats.where(F.col("movie_count") >= min_movies)
@@ -147,7 +146,6 @@ def profitability_trend(star: Star, start_year: int = 1980, end_year: int = 2025
         {"median": 0.5},
         row_count="movie_count",
         sums={c + "_sum": F.col(c) for c in ["budget", "revenue", "profit"]},
-        bounded_groups=True,
     )
     return stats.select(
         "year",

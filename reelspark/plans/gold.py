@@ -10,12 +10,10 @@ from reelspark.functions.money import round_half_up
 from reelspark.operators.dedupe import first_per_key
 from reelspark.operators.joins import left_join_sparse, union_all
 from reelspark.operators.numbering import dense_key_of_names
-from reelspark.plans.star import LOOKUP_KEYS
+from reelspark.plans.star import layout_keys
 from reelspark.sources import writers
 from reelspark.sources.readers import calendar, read_present, read_table, run_date
 
-_INT_MAX = 2_147_483_647
-
 
 def build_dim_time(days: DataFrame) -> DataFrame:
     """Calendar attributes of a table of days (column ``date``). Sunday is day 1; weeks are ISO weeks."""
@@ -101,7 +99,7 @@ def build_dim_movie(
     )
     joined = ids
     for side, key in [(imdb, "imdb_id"), (ml, "ml_id"), (tmdb, "tmdb_id"), (rt, "rt_slug")]:
-        joined = left_join_sparse(joined, side, key, ["movie_id"])
+        joined = left_join_sparse(joined, _one_per_key(side, key), key, ["movie_id"])
     return joined.select(
         "movie_id",
         "imdb_id",
@@ -122,8 +120,13 @@ def build_dim_movie(
 
 
 def metric_id(movie_id: Column, day: Column) -> Column:
-    """Stable hash of film and snapshot day. The hash depends on the width of the id: int where the id fits."""
-    return F.when(movie_id <= _INT_MAX, F.xxhash64(movie_id.try_cast("int"), day)).otherwise(F.xxhash64(movie_id, day))
+    """Stable hash of film and snapshot day, both as int. An id beyond the int range is an error, not another hash."""
+    return F.xxhash64(movie_id.cast("int"), day.cast("int"))
+
+
+def _one_per_key(side: DataFrame, key: str) -> DataFrame:
+    """One row per id before it is joined, so that a repeated source row doesn't repeat a film. NULL ids join nothing."""
+    return first_per_key(side.where(F.col(key).isNotNull()), [key])
 
 
 def build_fact_metrics(
@@ -145,7 +148,7 @@ def build_fact_metrics(
     )
     joined = spine.select("movie_id", "ml_id", "imdb_id", "tmdb_id", "rt_slug")
     for side, key in [(ml_ratings, "ml_id"), (imdb_ratings, "imdb_id"), (rt, "rt_slug"), (tmdb, "tmdb_id")]:
-        joined = left_join_sparse(joined, side, key, ["movie_id"])
+        joined = left_join_sparse(joined, _one_per_key(side, key), key, ["movie_id"])
     day = F.date_format(run_date(date), "yyyyMMdd")
     return joined.select(
         metric_id(F.col("movie_id"), day).alias("metric_id"),
@@ -209,7 +212,7 @@ def publish_all(spark: SparkSession, lake_root: str, date: str | None = None) ->
 
     def publish(name: str, df: DataFrame) -> None:
         writers.write_table(
-            df.withColumn("created_date", run_date(date)), f"{lake_root}/gold/{name}", sort_by=[LOOKUP_KEYS[name]]
+            df.withColumn("created_date", run_date(date)), f"{lake_root}/gold/{name}", sort_by=layout_keys(name)
         )
 
     spine = silver("entity_spine")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.functions.genres import genre_names_from_ids
-from reelspark.functions.money import parse_box_office
+from reelspark.functions.money import parse_box_office, stable_avg
 from reelspark.functions.text import normalize_title, split_or_null, strip_year_suffix, year_suffix
 from reelspark.sources import writers
 from reelspark.sources.readers import read_table, run_date
@@ -36,7 +36,7 @@ def clean_ml_movies(movies: DataFrame, date: str | None = None) -> DataFrame:
 def aggregate_ml_ratings(ratings: DataFrame, date: str | None = None) -> DataFrame:
     return (
         ratings.groupBy(F.col("movieId").alias("ml_id"))
-        .agg(F.avg("rating").alias("ml_avg_rating"), F.count("rating").alias("ml_rating_count"))
+        .agg(stable_avg(F.col("rating")).alias("ml_avg_rating"), F.count("rating").alias("ml_rating_count"))
         .withColumn("aggregated_date", run_date(date))
     )
 

@@ -159,7 +159,7 @@ def export_star(star: Star, root: str, tables: list[str] | None = None, mode: st
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
             rows = warehouse_projection(getattr(star, name))
-            writers.write_table(rows, f"{root}/{name}", mode=mode, sort_by=[LOOKUP_KEYS[name]])
+            writers.write_table(rows, f"{root}/{name}", mode=mode, sort_by=layout_keys(name))
             outcome[name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
@@ -218,6 +218,14 @@ PRIMARY_KEYS = {
     "bridge_movie_cast": ["movie_id", "person_id", "ordering"],
     "bridge_movie_genres": ["movie_id", "genre_id"],
 }
+
+
+def layout_keys(name: str) -> list[str]:
+    """Sort order of a stored table: its lookup key, then the rest of its primary key, so that a film with very many rows
+    spans files."""
+    return list(dict.fromkeys([LOOKUP_KEYS[name], *PRIMARY_KEYS[name]]))
+
+
 FOREIGN_KEYS = [
     ("fact_movie_metrics", "movie_id", "dim_movie"),
     ("fact_movie_metrics", "time_id", "dim_time"),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Comma-separated text with a header. A quote mark inside quotes is doubled (RFC 4180)."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:

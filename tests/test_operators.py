@@ -23,8 +23,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_percentiles_match_interpolation(spark, bounded):
+def test_percentiles_match_interpolation(spark):
     rng = random.Random(5)
     groups = {
         "hot": [rng.uniform(-50, 50) for _ in range(700)],
@@ -41,7 +40,7 @@ def test_percentiles_match_interpolation(spark, bounded):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double, w bigint").repartition(7)
     ps = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p100": 1.0}
-    got = exact_percentiles(df, ["g"], "v", ps, sums={"total": F.col("w")}, bounded_groups=bounded).collect()
+    got = exact_percentiles(df, ["g"], "v", ps, sums={"total": F.col("w")}).collect()
     assert {r.g for r in got} == set(groups)
     for r in got:
         values = [v for v in groups[r.g] if v is not None]
@@ -53,6 +52,16 @@ def test_percentiles_match_interpolation(spark, bounded):
                 assert r[name] is None
 
 
+def test_percentiles_keep_nan_and_infinity(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", 1.0), ("n", nan), ("n", 2.0), ("i", -inf), ("i", 5.0), ("i", inf), ("h", 7.0), ("h", 9.0), ("h", None)] + [("h", 7.0)] * 500
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("w", F.lit(1 << 62))
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5, "top": 1.0}, sums={"total": F.col("w")}).collect()}
+    assert (got["n"].row_count, got["n"].low, got["n"].mid) == (3, 1.0, 2.0) and got["n"].top != got["n"].top
+    assert (got["i"].low, got["i"].mid, got["i"].top) == (-inf, 5.0, inf)
+    assert (got["h"].row_count, got["h"].mid, got["h"].top, got["h"].total) == (503, 7.0, 9.0, 503 * 2**62)
+
+
 def test_quartiles_of_known_multiples(spark):
     df = spark.createDataFrame([(1, x) for x in (1.0, 2.0, 4.0, 10.0)], "g int, v double")
     r = exact_percentiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.75}).first()
