@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from reelspark.operators.dedupe import first_per_key
 from reelspark.sources import readers, schemas, writers
 
+# Chunk files as they are delivered, and as the sink of this library names them.
+CHUNKS = "{movies_*.ndjson,part-*.json}"
+
 
 def _dated(df: DataFrame, date: str | None) -> DataFrame:
     return df.withColumn("ingest_date", readers.run_date(date))
@@ -33,7 +36,7 @@ def dedupe_tmdb(movies: DataFrame) -> DataFrame:
 
 
 def read_tmdb(spark: SparkSession, folder: str, date: str | None = None) -> DataFrame:
-    raw = readers.read_ndjson(spark, f"{folder}/movies_*.ndjson", schemas.TMDB_MOVIES)
+    raw = readers.read_ndjson(spark, f"{folder}/{CHUNKS}", schemas.TMDB_MOVIES)
     return _dated(dedupe_tmdb(raw), date)
 
 
@@ -45,7 +48,7 @@ def dedupe_rt(movies: DataFrame, key: str = "slug") -> DataFrame:
 def read_rotten_tomatoes(
     spark: SparkSession, folder: str, date: str | None = None, key: str = "slug"
 ) -> DataFrame:
-    raw = readers.read_ndjson(spark, f"{folder}/movies_*.ndjson", schemas.RT_MOVIES)
+    raw = readers.read_ndjson(spark, f"{folder}/{CHUNKS}", schemas.RT_MOVIES)
     return _dated(dedupe_rt(raw, key), date)
 
 

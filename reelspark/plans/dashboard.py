@@ -42,10 +42,11 @@ def genre_share_pivot(star: Star, top: int = 8) -> DataFrame:
     wide = ranked.groupBy("decade").agg(
         *[F.coalesce(cell[i] / of_leading * 100, F.lit(0.0)).alias(f"share_{i}") for i in cell],
         F.coalesce(F.sum(F.when(F.col("rank").isNull(), F.col("count"))), F.lit(0)).alias("other_films"),
+        *[F.max(F.when(F.col("rank") == i, F.col("genre_name"))).alias(f"genre_{i}") for i in cell],
     )
-    names = leading.agg(*[F.max(F.when(F.col("rank") == i, F.col("genre_name"))).alias(f"genre_{i}") for i in cell])
-    columns = [c for i in cell for c in (f"genre_{i}", f"share_{i}")]
-    return wide.join(F.broadcast(names.withColumn("_all", F.lit(1))), F.col("_all") == F.lit(1)).select("decade", *columns, "other_films")
+    # One row per decade, so this window is bounded; it gives decades without a genre its name as well.
+    names = [F.max(f"genre_{i}").over(Window.partitionBy()).alias(f"genre_{i}") for i in cell]
+    return wide.select("decade", *names, *[f"share_{i}" for i in cell], "other_films")
 
 
 def overview_kpis(star: Star, titles: DataFrame | None = None, start_year: int = 1950, end_year: int = 2025) -> DataFrame:

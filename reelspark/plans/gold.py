@@ -179,16 +179,16 @@ def build_bridge_cast(spine: DataFrame, principals: DataFrame, dim_person: DataF
 
 def build_bridge_genres(spine: DataFrame, silver_by_key: dict[str, DataFrame], dim_genre: DataFrame) -> DataFrame:
     """(film, genre) from every source, joined by that source's own id (``silver_by_key``: id column -> table)."""
+    spelled = {key: silver.select(key, F.explode("genres_array").alias("spelling")) for key, silver in silver_by_key.items()}
+    # The text work is done once for each distinct spelling, a small vocabulary, and not for each film.
+    distinct = union_all([s.select("spelling") for s in spelled.values()]).distinct()
+    names = distinct.select("spelling", canonical_genre(F.col("spelling")).alias("genre_name"))
+    ids = names.join(dim_genre.select("genre_id", "genre_name"), "genre_name").select("spelling", "genre_id")
     parts = []
-    for key, silver in silver_by_key.items():
-        # NULLs are dropped inside the array: as a row filter the test would repeat the text work below the explode.
-        canonical = F.filter(F.transform("genres_array", canonical_genre), lambda g: g.isNotNull())
-        genres = silver.select(key, F.explode(F.array_distinct(canonical)).alias("genre_name"))
+    for key, genres in spelled.items():
         films = spine.where(F.col(key).isNotNull()).select("movie_id", key)
-        parts.append(films.join(genres, key).select("movie_id", "genre_name"))
-    return (
-        union_all(parts).join(dim_genre.select("genre_id", "genre_name"), "genre_name").select("movie_id", "genre_id").distinct()
-    )
+        parts.append(films.join(genres, key).select("movie_id", "spelling"))
+    return union_all(parts).join(ids, "spelling").select("movie_id", "genre_id").distinct()
 
 
 # Silver tables that carry genres, with the id that links them to the spine.

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.operators.joins import union_all
-from reelspark.operators.quality import check_row, duplicate_keys, orphans, range_violations, without_any
+from reelspark.operators.quality import check_row, duplicate_keys, orphans, range_violations, split_quarantine, without_any
 from reelspark.sources import readers, writers
 
 
@@ -131,6 +131,21 @@ LOOKUP_KEYS = {
     "bridge_movie_genres": "movie_id",
 }
 
+# Columns of the warehouse schema whose types the rows have to be brought to (fixed values).
+WAREHOUSE_TYPES = {
+    "dim_time": {"int": "time_id year quarter month day day_of_week day_of_year week_of_year"},
+    "dim_genre": {"int": "genre_id"},
+    "dim_person": {"int": "birth_year death_year"},
+    "dim_movie": {"bigint": "movie_id", "int": "tmdb_id ml_id year runtime is_adult", "double": "popularity"},
+    "fact_movie_metrics": {
+        "bigint": "metric_id movie_id budget revenue",
+        "int": "time_id ml_rating_count imdb_votes tmdb_votes tomatometer_score audience_score divisive_score",
+        "double": "ml_avg_rating imdb_rating tmdb_rating tmdb_popularity",
+    },
+    "bridge_movie_cast": {"bigint": "movie_id", "int": "ordering"},
+    "bridge_movie_genres": {"bigint": "movie_id", "int": "genre_id"},
+}
+
 # --- Warehouse load -------------------------------------------------------------------------------------------
 
 def warehouse_projection(df: DataFrame, target: dict[str, str] | None = None) -> DataFrame:
@@ -152,15 +167,29 @@ def warehouse_projection(df: DataFrame, target: dict[str, str] | None = None) ->
     return df.select(*out)
 
 
+def loadable(star: Star, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of a table as the warehouse takes them, and the rejected ones with reason and copies: a value that the
+    target type cannot hold (``does_not_fit``), a NULL key part, a reference without a parent, a repeated key."""
+    rows = warehouse_projection(getattr(star, name))
+    types = {c: t for t, columns in WAREHOUSE_TYPES[name].items() for c in columns.split() if c in rows.columns}
+    fits = reduce(lambda a, b: a & b, [F.col(c).isNull() | F.col(c).try_cast(t).isNotNull() for c, t in types.items()])
+    parents = [(key, getattr(star, parent).select(key), key) for child, key, parent in FOREIGN_KEYS if child == name]
+    good, rejected = split_quarantine(rows.where(fits), PRIMARY_KEYS[name], parents)
+    misfits = rows.where(~fits).groupBy(*rows.columns).agg(F.lit("does_not_fit").alias("reason"), F.count("*").alias("copies"))
+    return good.withColumns({c: F.col(c).cast(t) for c, t in types.items()}), misfits.unionByName(rejected)
+
+
 def export_star(star: Star, root: str, tables: list[str] | None = None, mode: str = "overwrite") -> dict[str, str]:
-    """Write the tables in load order as Parquet; a table that fails does not stop the others, unknown names are
-    skipped. Returns the outcome per table."""
+    """Write the tables in load order as Parquet, typed as the warehouse has them, and rejected rows beside them in
+    ``_rejected``; a table that fails does not stop the others, unknown names are skipped. Returns the outcome per table."""
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            rows = warehouse_projection(getattr(star, name))
+            rows, rejected = loadable(star, name)
             writers.write_table(rows, f"{root}/{name}", mode=mode, sort_by=layout_keys(name))
-            outcome[name] = "ok"
+            writers.write_table(rejected, f"{root}/_rejected/{name}", mode=mode)
+            bad = rows.sparkSession.read.parquet(f"{root}/_rejected/{name}").agg(F.sum("copies")).first()[0]
+            outcome[name] = f"ok, {bad} rejected" if bad else "ok"
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
     return outcome
@@ -169,26 +198,37 @@ def export_star(star: Star, root: str, tables: list[str] | None = None, mode: st
 def export_star_jdbc(
     star: Star, url: str, tables: list[str] | None = None, properties: dict | None = None, mode: str = "overwrite"
 ) -> dict[str, str]:
-    """As ``export_star``, into a database."""
+    """As ``export_star``, into a database; rejected rows are left out (``loadable`` lists them)."""
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            writers.write_jdbc(warehouse_projection(getattr(star, name)), url, name, properties, mode)
+            writers.write_jdbc(loadable(star, name)[0], url, name, properties, mode)
             outcome[name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
     return outcome
 
 
-def load_manifest(df: DataFrame, year: str, records_per_chunk: int = 1000, completed_at: str | None = None) -> DataFrame:
-    """One line about a delivery: records, chunk files, year span, fields, time of completion."""
+def load_manifest(
+    df: DataFrame, year: str, records_per_chunk: int = 1000, completed_at: str | None = None, file: str | None = None
+) -> DataFrame:
+    """One line about a delivery: records, chunk files, year span, fields, time of completion. Chunks are those to be
+    written, or the distinct values of column `file`, which is no field."""
+    chunks = F.ceil(F.count("*") / records_per_chunk) if file is None else F.count_distinct(file)
+    fields = [c for c in df.columns if c != file]
     done = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if completed_at is None else F.lit(completed_at)
     return df.agg(
         F.count("*").alias("total_movies"),
-        F.ceil(F.count("*") / records_per_chunk).cast("bigint").alias("total_chunks"),
+        chunks.cast("bigint").alias("total_chunks"),
         F.min(year).alias("first_year"),
         F.max(year).alias("last_year"),
-    ).select("*", F.lit(",".join(df.columns)).alias("fields"), done.alias("completed_at"))
+    ).select("*", F.lit(",".join(fields)).alias("fields"), done.alias("completed_at"))
+
+
+def manifest_of_chunks(spark: SparkSession, path: str, schema: str, year: str, completed_at: str | None = None) -> DataFrame:
+    """As ``load_manifest``, about the chunk files that were really written to ``path``."""
+    written = readers.read_ndjson(spark, path, schema)
+    return load_manifest(written.withColumn("_file", F.input_file_name()), year, completed_at=completed_at, file="_file")
 
 
 # --- Checks on the loaded star --------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Raw files in their native formats, through bronze, silver, spine and gold, to queries on the star."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -271,6 +272,15 @@ def test_export(spark, star, tmp_path):
     assert person.known_for_titles == "tt0114709,tt0000005"
     assert star_jobs.export_star(star, str(tmp_path), ["dim_genre"], mode="append") == {"dim_genre": "ok"}
     assert spark.read.parquet(str(tmp_path / "dim_genre")).count() == 2 * star.dim_genre.count()
+    people = star.dim_person
+    broken = people.withColumn("birth_year", F.lit(3_000_000_000)).unionByName(people.withColumn("birth_year", F.col("birth_year").cast("bigint"))).unionByName(
+        people.withColumns({"person_id": F.lit(None).cast("string"), "birth_year": F.lit(1).cast("bigint")})
+    )
+    rows, rejected = star_jobs.loadable(SimpleNamespace(dim_person=broken), "dim_person")
+    assert rows.schema["birth_year"].dataType.typeName() == "integer" and rows.count() == people.count()
+    assert {r.reason: r.n for r in rejected.groupBy("reason").agg(F.sum("copies").alias("n")).collect()} == {
+        "does_not_fit": people.count(), "null_key": people.count(),
+    }
     failed = star_jobs.export_star(star, "nosuchscheme://x", ["dim_genre"])
     assert failed["dim_genre"].startswith("failed")
 
@@ -291,6 +301,9 @@ def test_ndjson_chunks_and_partitions(spark, tmp_path):
     writers.write_table(df, str(tmp_path / "t"), ["y"])
     assert sorted(p.name for p in (tmp_path / "t").glob("y=*")) == ["y=0", "y=1"]
     assert readers.read_ndjson(spark, str(tmp_path / "chunks"), "id bigint").count() == 2500
+    manifest = star_jobs.manifest_of_chunks(spark, str(tmp_path / "chunks"), "id bigint, y bigint", "y").first()
+    assert (manifest.total_movies, manifest.total_chunks, manifest.fields) == (2500, 3, "id,y")
+    assert bronze.read_tmdb(spark, str(tmp_path / "chunks")).select("id").distinct().count() == 2500
 
 
 def test_money_of_failed_lookups(spark):
