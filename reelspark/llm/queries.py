@@ -23,7 +23,8 @@ def op2_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.drop("longest_match", "longest_item", "longest_at")
 
 
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +80,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_revisits": op9_revisits,
     "op10_line_blocks": op10_line_blocks,
 }
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE: dict[str, str] = {
+    "op2_hamming_join": rf"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[i:i + 2] END AS s
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM texts WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+        ), reach(a, b) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), components AS (
+            SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM components LEFT JOIN sizes USING (doc_id)
+    """,
+    "op3_suffix_arrays": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), item_windows AS (
+            SELECT DISTINCT item_id, n, w[i:i + n - 1] AS win
+            FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM (SELECT *, least(len(w), 10) AS n FROM b) WHERE n > 0)
+        ), doc_windows AS (
+            SELECT doc_id, i, n, w[i:i + n - 1] AS win
+            FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+                FROM d JOIN (SELECT DISTINCT n FROM item_windows) ON len(w) >= n)
+        ), hits AS (
+            SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, win)
+        ), places AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits)
+            GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op4_stupid_backoff": r"""
         WITH texts AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
@@ -123,4 +174,43 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM urls LEFT JOIN best USING (host, path)
     """,
+    "op9_revisits": r"""
+        WITH urls AS (
+            SELECT page_id, md5(coalesce(html, '')) AS digest, length(coalesce(html, ''))::VARCHAR AS size, page_id * 7919 % 1000000 AS t,
+                regexp_replace(regexp_replace(trim(url), '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+            FROM pages
+        ), parts AS (
+            SELECT page_id, digest, size, t, '"' || digest[1:12] || '"' AS tag,
+                regexp_replace(lower(regexp_extract(rest, '(?s)^([^/?]*)', 1)), ':(80|443)$', '') AS host,
+                regexp_replace(regexp_extract(rest, '(?s)^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+                array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '(?s)^[^?]*\?(.*)$', 1), '&'),
+                    lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid|msclkid|sessionid)(=.*)?$'))), '&') AS query
+            FROM urls
+        ), pages_at AS (
+            SELECT *, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url, 'day ' || (t // 1000) AS day FROM parts
+        ), revisits AS (
+            SELECT page_id * 3 + 1 AS record_id, url, t + 5000 AS time, tag AS etag, NULL AS last_modified, NULL AS digest,
+                'cache-control: max-age=60' || chr(10) AS cache, tag AS new_tag
+            FROM pages_at
+            UNION ALL
+            SELECT page_id * 3 + 2, url, t + 90000, CASE WHEN page_id % 4 = 1 THEN '"changed"' END, CASE WHEN page_id % 4 = 2 THEN day END,
+                CASE WHEN page_id % 4 = 3 THEN digest END, '', NULL
+            FROM pages_at
+        ), found AS (
+            SELECT r.record_id, arg_max(p, p.t * 1000000000000 + p.page_id) AS p
+            FROM revisits r LEFT JOIN pages_at p ON p.url = r.url AND p.t < r.time GROUP BY r.record_id
+        ), judged AS (
+            SELECT r.*, p, CASE WHEN p IS NULL THEN 'no_earlier_response'
+                WHEN etag IS NOT NULL THEN CASE WHEN etag = p.tag THEN 'resolved' ELSE 'validator_mismatch' END
+                WHEN last_modified IS NOT NULL THEN CASE WHEN last_modified = p.day THEN 'resolved' ELSE 'validator_mismatch' END
+                WHEN digest IS NOT NULL THEN CASE WHEN digest = p.digest THEN 'resolved' ELSE 'validator_mismatch' END
+                ELSE 'unverified' END AS status
+            FROM revisits r JOIN found USING (record_id)
+        )
+        SELECT record_id, url AS canonical_url, time, status,
+            CASE WHEN status IN ('resolved', 'unverified') THEN p.page_id * 3 END AS source_id,
+            CASE WHEN status IN ('resolved', 'unverified') THEN cache || 'content-length: ' || p.size || chr(10) || 'content-type: text/html' ||
+                chr(10) || 'date: day ' || (time // 1000) || chr(10) || 'etag: ' || coalesce(new_tag, p.tag) END AS headers
+        FROM judged
+    """,
 }
