@@ -48,14 +48,16 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node that can be reached) for all nodes of edges (a, b) with two different ends.
 
-    An edge is kept as (larger end, smaller end). In each round it meets the edges of its larger end, and the edges that lead
+    An edge is kept as (larger end, smaller end). In each round after the first it meets the edges of its larger end, and the edges that lead
     on from its smaller end; a partition joins what has met and points everything to the smallest node. The edges that lead
     on from a node are copied to SALTS places, so that the many edges of a hub needn't meet in one of them. Rounds end when
     nothing changes. They are checkpointed, and only a count and a checksum reach the driver. Edges with a NULL end are
     dropped; an empty table gives no rows.
     """
     ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
-    edges = edges.dropna(subset=["a", "b"]).where("a != b").select(*ends).distinct()
+    edges = edges.dropna(subset=["a", "b"]).where("a != b").select(*ends, F.lit(True).alias("told"))
+    # First the edges of each larger end alone: it leaves about one edge for a node to copy.
+    edges = cut_lineage(edges.repartition("a").mapInArrow(_contract, "a bigint, b bigint").distinct())
     before = None
     while True:
         on = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
