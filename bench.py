@@ -39,6 +39,12 @@ HEADLINE = [
     "serial_key",
     "constraint_report",
     "extract_pages",
+    "fact_metrics",
+    "dim_movie",
+    "bridge_cast",
+    "quarantine_rows",
+    "v_movie_cast",
+    "person_detail",
 ]
 
 

@@ -160,6 +160,7 @@ PEOPLE = {
     "person_rating_history": f"""SELECT person_id, year, {_avg('imdb_rating')} AS avg_rating, COUNT(*) AS movie_count
       FROM bridge_movie_cast JOIN films USING (movie_id) WHERE imdb_rating IS NOT NULL GROUP BY 1, 2""",
     "actor_network": _PAIRS,
+    "actor_network_crowded": _PAIRS,
     "person_detail": f"""SELECT p.person_id, p.name, p.birth_year, movie_id, title, year, category, characters, imdb_rating
       FROM dim_person p LEFT JOIN ({_CREDITS}) c ON p.person_id = c.person_id""",
     "person_summary": f"""SELECT person_id, COUNT(*) AS film_rows,

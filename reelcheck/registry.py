@@ -361,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "top_rated": _on_star(people.top_rated),
     "person_rating_history": _on_star(people.rating_history),
     "actor_network": _on_star(people.actor_network),
+    "actor_network_crowded": _on_star(people.actor_network, crowd=3),
     "person_detail": _on_star(people.person_detail),
     "person_summary": _on_star(people.person_summary),
     # temporal

@@ -48,6 +48,8 @@ def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256) -> D
     )
     one = _one(big).withColumnRenamed("name1", "low")
     other = _other(big).withColumnRenamed("name2", "high")
+    # Names without a hopeful pair in crowded movies have nothing to look up there.
+    one = one.join(candidates.select("low").distinct(), "low", "left_semi")
     # Without crowded movies both left joins fall away at run time.
     found = candidates.join(one, "low", "left").join(other, ["movie_id", "high"], "left")
     together = F.when(F.col("id1") < F.col("id2"), F.col("n1") * F.col("n2"))

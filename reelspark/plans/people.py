@@ -59,8 +59,8 @@ def rating_history(star: Star, person_id=None) -> DataFrame:
     return history
 
 
-def actor_network(star: Star, min_collaborations: int = 3, limit: int = 100) -> DataFrame:
-    """Pairs of actors by the number of credits they share."""
+def actor_network(star: Star, min_collaborations: int = 3, limit: int = 100, crowd: int = 256) -> DataFrame:
+    """Pairs of actors by the number of credits they share. ``crowd``: see ``named_pair_counts``; results don't depend on it."""
     members = (
         _credits(star, "actor")
         .groupBy("movie_id", "person_id")
@@ -69,7 +69,7 @@ def actor_network(star: Star, min_collaborations: int = 3, limit: int = 100) ->
         .where(F.col("name").isNotNull())
     )
     return (
-        named_pair_counts(members, min_collaborations)
+        named_pair_counts(members, min_collaborations, crowd)
         .select(F.col("name1").alias("actor1"), F.col("name2").alias("actor2"), F.col("count").alias("collaborations"))
         .orderBy(F.desc("collaborations"), "actor1", "actor2")
         .limit(limit)
