@@ -1,10 +1,11 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one for each block of text. Elements that never belong to an article (menus, footers, sidebars,
-forms, scripts, notices, adverts, comments) become runs of empty lines. A sliding window adds up the text lengths of
-BLOCK lines; text starts at a surge of that sum and ends at a dive to zero. Text of links doesn't count towards the sums. If the page
-marks its article, lines outside it are empty too, and any text inside it is a surge; otherwise the sum has to pass a
-threshold, or half the largest sum of the page where that is less.
+forms, scripts, notices, adverts, comments) are left out; outside an article, and at its ends, they become runs of empty lines. A
+sliding window adds up the text lengths of BLOCK lines; text starts at a surge of that sum and ends at a dive to zero. Text of links
+doesn't count towards the sums. The sum has to pass a threshold, or half the largest sum of the page where that is less. A line inside
+<article> or <main> that has text besides links counts ARTICLE characters more: the element is a weight, and the sums choose
+the text inside and outside of it.
 
 Defined cases: NULL or empty html gives an empty text; unclosed elements end at the next article or at the end of their parent;
 white space (also no-break spaces) collapses; repeated pages are extracted each for itself; an empty table gives no rows; page_id and
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 BLOCK = 3
 THRESHOLD = 120
+ARTICLE = THRESHOLD // BLOCK
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|textarea|title|object|canvas|math)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
@@ -58,6 +60,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     parts: list[str] = []
     links: list[str] = []
     article = link = 0
+    gap = [("", 0, False)] * BLOCK
     skipped, depth = "", 0  # the element that is being left out, and how many of its kind are open
 
     def flush() -> None:
@@ -105,6 +108,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if closing:
             if name in ("article", "main"):
                 article = max(article - 1, 0)
+                if not article:
+                    lines.extend(gap)
             elif name == "a":
                 link = max(link - 1, 0)
             continue
@@ -113,11 +118,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             name not in ("article", "main", "body", "html") or "comment" in marks
         ) and (marks & MARKS or (not article and (name in PAGE_HEADER or marks & PAGE_HEADER))):
             flush()
-            lines.extend([("", 0, False)] * BLOCK)
+            if not article:
+                lines.extend(gap)
             if name not in VOID:
                 skipped, depth = name, 1
         elif name in ("article", "main"):
-            lines.extend([("", 0, False)] * BLOCK)
+            if not article:
+                lines.extend(gap)
             article += 1
         elif name == "a":
             link += 1
@@ -128,16 +135,14 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
 def main_text(page: str | None, threshold: int = THRESHOLD) -> str:
     lines = page_lines(page or "")
-    if any(inside for _, _, inside in lines):
-        lines = [x if x[2] else ("", 0, False) for x in lines]
     n = len(lines)
-    weight = [w for _, w, _ in lines]
+    weight = [w + ARTICLE if w and inside else w for _, w, inside in lines]
     sums = [sum(weight[i : i + BLOCK]) for i in range(n)]
     surge = min(threshold, max(sums, default=0) / 2)
     kept, i = [], 0
     while i < n:
-        if lines[i][0] and (lines[i][2] or (weight[i] > 0 and sums[i] > surge)):
-            while i < n and (sums[i] > 0 or lines[i][2]):
+        if weight[i] > 0 and sums[i] > surge:
+            while i < n and sums[i] > 0:
                 if lines[i][0]:
                     kept.append(lines[i][0])
                 i += 1
