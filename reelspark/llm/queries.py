@@ -28,7 +28,8 @@ def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = stupid_backoff.score_documents(table(spark, sf_dir, "documents"))
+    # Order and threshold of the DuckDB statement.
+    scored = stupid_backoff.score_documents(table(spark, sf_dir, "documents"), min_count=2, order=2)
     return scored.select("doc_id", "n_words", "n_known", F.round("score", 4).alias("score"))
 
 

@@ -1,6 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
-from reelspark.llm import html_text
+import math
+import random
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from pyspark import TaskContext
+
+from reelspark.llm import html_text, stupid_backoff
 
 
 def test_window_sums_decide_inside_and_outside_of_an_article():
@@ -11,3 +19,31 @@ def test_window_sums_decide_inside_and_outside_of_an_article():
     links = "".join(f'<li><a href="/{i}">Linked headline {i}</a></li>' for i in range(6))
     page = f"<article><h1>T</h1><p>{body}</p><ul>{links}</ul></article><p>Imprint</p>"
     assert html_text.main_text(page) == f"T {body.strip()}"
+
+
+@pytest.mark.parametrize("order,min_count", [(3, 1), (2, 1), (3, 2), (2, 2), (4, 1)])
+def test_backoff_of_every_order(spark, monkeypatch, order, min_count):
+    monkeypatch.setattr(stupid_backoff, "CHUNK_WORDS", 50)
+    rng = random.Random(21)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 30))) for _ in range(60)] + [None, "", "A a", "x y z"]
+    words = [(t or "").lower().split() for t in texts]
+    counts = Counter(tuple(w[i : i + m]) for w in words for m in range(1, order + 1) for i in range(len(w) - m + 1))
+    total = sum(map(len, words))
+
+    def score(gram):
+        if len(gram) == 1:
+            return counts[gram] / total
+        return counts[gram] / counts[gram[:-1]] if counts[gram] >= min_count else 0.4 * score(gram[1:])
+
+    got = stupid_backoff.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), min_count=min_count, order=order)
+    for r in got.collect():
+        grams = [tuple(words[r.doc_id][max(0, i - order + 1) : i + 1]) for i in range(len(words[r.doc_id]))]
+        assert (r.n_words, r.n_known) == (len(grams), sum(len(g) > 1 and counts[g] >= min_count for g in grams))
+        assert abs(r.log_prob - sum(math.log(score(g)) for g in grams)) < 1e-9
+
+
+def test_a_frequent_ngram_is_one_row_a_chunk():
+    ask = stupid_backoff._ask(3)
+    TaskContext._getOrCreate()._partitionId = 0
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["same " * 5000, "same " * 5000])], ["doc_id", "text"])
+    assert sum(len(k) for b in ask(iter([batch])) for k in b.column(4).to_pylist()) == 4  # total, and one n-gram of each order
