@@ -1,11 +1,12 @@
 """Near-duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
-1. Every text becomes a signature of POSITIONS minhash values, BITS bits each. Texts with equal shingle sets are one class, known
+1. Every text becomes a signature of minhash values, BITS bits each, as many as its Shape has positions. Texts with equal shingle sets are one class, known
    by its smallest doc_id; only one text of a class goes on.
-2. Pigeonhole: signatures are cut into chunks of CHUNK values. Two signatures that differ in at most MAX_DISTANCE values differ in
-   at most one value of some chunk, so they share one of the keys "chunk without its i-th value". All pairs within MAX_DISTANCE are
-   therefore found. At the similarity threshold a pair exceeds MAX_DISTANCE with a chance of about 1e-7.
-3. Classes that share a key and lie within MAX_DISTANCE are joined to candidate groups. Keys with equal members are
+2. Pigeonhole: signatures are cut into chunks of equal length. Two signatures that differ in at most max_distance values differ in
+   at most one value of some chunk, so they share one of the keys "chunk without its i-th value". All pairs within it are
+   therefore found. `shape` derives chunks from the similarity so that a pair at the threshold exceeds the distance with a chance of
+   MISSED at most.
+3. Classes that share a key and lie within the distance are joined to candidate groups. Keys with equal members are
    looked at once. A crowded key is cut into blocks, and all pairs of blocks are compared in separate tasks.
 4. Inside a candidate group links are confirmed on the full shingle sets, in blocks of BLOCK texts. Blocks of one group meet through
    hub texts first; what is then still apart from the group's largest component is compared with every block of the group.
@@ -21,7 +22,10 @@ document (what one is linked with, all are); an empty table gives no rows; other
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +38,53 @@ from reelspark.session import cut_lineage
 
 SHINGLE = 3
 SIMILARITY = (85, 100)  # as a fraction
-CHUNK, CHUNKS, BITS = 5, 14, 16
-POSITIONS = CHUNK * CHUNKS
-MAX_DISTANCE = 2 * CHUNKS - 1
+BITS = 16
+MISSED = 4e-7  # chance that a pair at the threshold isn't a candidate
+MOST_POSITIONS = 128
 KEY_BLOCK = 1024  # members of a key compared in one group of rows
 BLOCK = 512  # texts confirmed in one group of rows
 HUBS = 8
 MAX_BLOOM_BYTES = 32_000_000
 
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Shingles of `size` words, linked at `similarity`; signatures of `chunks` chunks of `chunk` values."""
+
+    size: int
+    similarity: tuple[int, int]
+    chunk: int
+    chunks: int
+
+    @property
+    def positions(self) -> int:
+        return self.chunk * self.chunks
+
+    @property
+    def max_distance(self) -> int:
+        return 2 * self.chunks - 1
+
+
+@cache
+def shape(size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> Shape:
+    """The longest chunks, hence the most selective keys, for which at most 80 (or else MOST_POSITIONS) positions miss few enough."""
+    differ = 1 - similarity[0] / similarity[1]
+    for most in (80, MOST_POSITIONS):
+        for chunk in (5, 4, 3, 2):
+            for chunks in range(1, most // chunk + 1):
+                n = chunk * chunks
+                if sum(math.comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(2 * chunks, n + 1)) <= MISSED and n >= 64:
+                    return Shape(size, similarity, chunk, chunks)
+    raise ValueError(f"no signature finds pairs at {similarity}")
+
+
 _RNG = np.random.default_rng(20240115)
-_FACTORS = _RNG.integers(1 << 62, (1 << 63) - 1, POSITIONS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _RNG.integers(1 << 62, (1 << 63) - 1, MOST_POSITIONS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SALTS = np.arange(1, POSITIONS + 1, dtype=np.uint64) * _MIX
+_SALTS = np.arange(1, MOST_POSITIONS + 1, dtype=np.uint64) * _MIX
+DEFAULT = shape()
+CHUNK, CHUNKS, POSITIONS, MAX_DISTANCE = DEFAULT.chunk, DEFAULT.chunks, DEFAULT.positions, DEFAULT.max_distance
 
 
 class WordHashes(dict):
@@ -77,14 +116,14 @@ def shingle_set(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np
     return np.unique(x)
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    low = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64)
+def signature(shingles: np.ndarray, positions: int = POSITIONS) -> bytes:
+    low = np.full(positions, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 4096):
-        np.minimum(low, (shingles[at : at + 4096, None] * _FACTORS).min(axis=0), out=low)
+        np.minimum(low, (shingles[at : at + 4096, None] * _FACTORS[:positions]).min(axis=0), out=low)
     return ((low >> np.uint64(16)) & np.uint64((1 << BITS) - 1)).astype(np.uint16).tobytes()
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, form: Shape = DEFAULT) -> DataFrame:
     """doc_id, n_shingles, set_hash (of the whole set), signature of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,10 +131,10 @@ def sketches(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, names, signs = [], [], []
             for text in batch.column(1).to_pylist():
-                s = shingle_set(text, hashes)
+                s = shingle_set(text, hashes, form.size)
                 sizes.append(len(s))
                 names.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
-                signs.append(signature(s) if len(s) else None)
+                signs.append(signature(s, form.positions) if len(s) else None)
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(signs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_hash", "signature"])
 
@@ -103,22 +142,22 @@ def sketches(docs: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_hash binary, signature binary")
 
 
-def chunk_keys(classes: DataFrame) -> DataFrame:
+def chunk_keys(classes: DataFrame, form: Shape = DEFAULT) -> DataFrame:
     """key, node: each chunk of a signature with one value left out."""
-    chosen = [[c for c in range(CHUNK) if c != skip] for skip in range(CHUNK)]
+    chosen = [[c for c in range(form.chunk) if c != skip] for skip in range(form.chunk)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                values = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, CHUNKS, CHUNK).astype(np.uint64)
+                values = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, form.chunks, form.chunk).astype(np.uint64)
                 keys = []
-                for c, skip in itertools.product(range(CHUNKS), range(CHUNK)):
+                for c, skip in itertools.product(range(form.chunks), range(form.chunk)):
                     x = np.zeros(len(values), np.uint64)
                     for k in chosen[skip]:
                         x = (x << np.uint64(BITS)) | values[:, c, k]
-                    keys.append(_mixed(x + _SALTS[c * CHUNK + skip]))
-                nodes = np.tile(part.column(0).to_numpy(zero_copy_only=False), POSITIONS)
+                    keys.append(_mixed(x + _SALTS[c * form.chunk + skip]))
+                nodes = np.tile(part.column(0).to_numpy(zero_copy_only=False), form.positions)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes)], ["key", "node"])
 
     return classes.select("node", "signature").mapInArrow(run, "key bigint, node bigint")
@@ -152,37 +191,41 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.r_[0, np.flatnonzero(change), table.num_rows]
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, root: members of the same group of rows within MAX_DISTANCE are joined."""
-    unions = Unions()
-    for table in _groups(batches, ["key", "i", "j"]):
-        nodes = table.column("node").to_numpy()
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-        bounds = _bounds(table, ["key", "i", "j"])
-        size = np.diff(bounds)
-        group = np.repeat(np.arange(len(size)), size)
-        small = int(size[size <= 16].max(initial=1))
-        for d in range(1, small):  # all pairs of small groups at once: rows that are d apart
-            same = np.flatnonzero((group[d:] == group[:-d]) & (size[group[d:]] <= 16))
-            close = same[(signs[same] != signs[same + d]).sum(axis=1) <= MAX_DISTANCE]
-            for a, b in set(zip(nodes[close].tolist(), nodes[close + d].tolist())):
-                unions.join(a, b)
-        for g in np.flatnonzero(size > 16):
-            s, n = signs[bounds[g] : bounds[g + 1]], nodes[bounds[g] : bounds[g + 1]]
-            for k in range(len(n) - 1):
-                for m in n[k + 1 :][(s[k + 1 :] != s[k]).sum(axis=1) <= MAX_DISTANCE].tolist():
-                    unions.join(int(n[k]), m)
-    pairs = [(x, unions.find(x)) for x in list(unions)]  # roots have no entry
-    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+def _near(form: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """node, root: members of the same group of rows within the distance are joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unions = Unions()
+        for table in _groups(batches, ["key", "i", "j"]):
+            nodes = table.column("node").to_numpy()
+            signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, form.positions)
+            bounds = _bounds(table, ["key", "i", "j"])
+            size = np.diff(bounds)
+            group = np.repeat(np.arange(len(size)), size)
+            small = int(size[size <= 16].max(initial=1))
+            for d in range(1, small):  # all pairs of small groups at once: rows that are d apart
+                same = np.flatnonzero((group[d:] == group[:-d]) & (size[group[d:]] <= 16))
+                close = same[(signs[same] != signs[same + d]).sum(axis=1) <= form.max_distance]
+                for a, b in set(zip(nodes[close].tolist(), nodes[close + d].tolist())):
+                    unions.join(a, b)
+            for g in np.flatnonzero(size > 16):
+                s, n = signs[bounds[g] : bounds[g + 1]], nodes[bounds[g] : bounds[g + 1]]
+                for k in range(len(n) - 1):
+                    for m in n[k + 1 :][(s[k + 1 :] != s[k]).sum(axis=1) <= form.max_distance].tolist():
+                        unions.join(int(n[k]), m)
+        pairs = [(x, unions.find(x)) for x in list(unions)]  # roots have no entry
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
 
 
 def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
-    """node, component: classes that are joined by chains of signatures within MAX_DISTANCE. classes: node, signature."""
-    keys = chunk_keys(classes)
+def candidate_groups(classes: DataFrame, form: Shape = DEFAULT) -> DataFrame:
+    """node, component: classes that are joined by chains of signatures within the distance. classes: node, signature."""
+    keys = chunk_keys(classes, form)
     prints = [F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mark")]
     shared = keys.groupBy("key").agg(*prints).where("n > 1")
     # Many keys of a group of copies have the same members: one of them is enough.
@@ -195,10 +238,10 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     # A task gives one row for each of its nodes, so few large tasks say less twice than many small ones.
     parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4, 8)
     members = members.repartition("key", "i", "j").coalesce(parts).sortWithinPartitions("key", "i", "j")
-    return cut_lineage(connected_components(members.mapInArrow(_near, "a bigint, b bigint")))
+    return cut_lineage(connected_components(members.mapInArrow(_near(form), "a bigint, b bigint")))
 
 
-def _linked(nodes: list[int], sets: list[np.ndarray], sides: tuple[np.ndarray, np.ndarray] | None, unions: Unions) -> None:
+def _linked(nodes: list[int], sets: list[np.ndarray], sides: tuple[np.ndarray, np.ndarray] | None, unions: Unions, similarity: tuple[int, int]) -> None:
     """Joins the nodes of linked texts: all pairs, or pairs of a left and a right text. Exact counts of common shingles."""
     lengths = np.array([len(s) for s in sets])
     if not len(sets) or not lengths.sum():
@@ -206,7 +249,7 @@ def _linked(nodes: list[int], sets: list[np.ndarray], sides: tuple[np.ndarray, n
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.r_[0, np.cumsum(lengths)]
     mark = np.zeros(ids.max() + 1, np.int32)
-    up, down = SIMILARITY
+    up, down = similarity
     for a in range(len(sets)) if sides is None else np.flatnonzero(sides[0]).tolist():
         own = ids[starts[a] : starts[a + 1]]
         mark[own] = 1
@@ -220,7 +263,7 @@ def _linked(nodes: list[int], sets: list[np.ndarray], sides: tuple[np.ndarray, n
                 unions.join(nodes[a], nodes[b])
 
 
-def _confirm(keys: list[str], two_sided: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _confirm(keys: list[str], two_sided: bool, form: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for table in _groups(batches, keys):
@@ -229,10 +272,10 @@ def _confirm(keys: list[str], two_sided: bool) -> Callable[[Iterator[pa.RecordBa
             left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool) if two_sided else None
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 unions = Unions()
-                sets = [shingle_set(t, hashes) for t in texts[lo:hi]]
+                sets = [shingle_set(t, hashes, form.size) for t in texts[lo:hi]]
                 full = [k for k, s in enumerate(sets) if len(s)]
                 sides = (left[lo:hi][full], ~left[lo:hi][full]) if two_sided else None
-                _linked([nodes[lo + k] for k in full], [sets[k] for k in full], sides, unions)
+                _linked([nodes[lo + k] for k in full], [sets[k] for k in full], sides, unions, form.similarity)
                 out.extend((x, unions.find(x)) for x in dict.fromkeys(nodes[lo:hi]) if unions.find(x) != x)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
@@ -270,7 +313,7 @@ def member_texts(docs: DataFrame, groups: DataFrame) -> DataFrame:
     return chosen.join(groups, "node")
 
 
-def link_components(docs: DataFrame, groups: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, groups: DataFrame, form: Shape = DEFAULT) -> DataFrame:
     """node, component by links that are confirmed on the full sets of shingles."""
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -282,7 +325,7 @@ def link_components(docs: DataFrame, groups: DataFrame) -> DataFrame:
     hubs = texts.join(hubs.select("node"), "node", "left_semi").withColumn("to", F.explode(F.sequence(F.lit(0), blocks - 1)))
     hubs = hubs.where("to != block").select("component", F.col("to").alias("block"), "node", "text")
     first = texts.select("component", "block", "node", "text").union(hubs)
-    links = _dealt(first, "component", "block").mapInArrow(_confirm(["component", "block"], False), "a bigint, b bigint")
+    links = _dealt(first, "component", "block").mapInArrow(_confirm(["component", "block"], False, form), "a bigint, b bigint")
     links = cut_lineage(links)
     if not large.limit(1).count():  # every group was one block, so roots are final
         return links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))  # nodes that are roots are left out
@@ -299,7 +342,7 @@ def link_components(docs: DataFrame, groups: DataFrame) -> DataFrame:
     right = right.withColumn("j", F.col("block")).withColumn("is_left", F.lit(False))
     columns = ["component", "i", "j", "is_left", "node", "text"]
     rest = _dealt(left.select(*columns).union(right.select(*columns)), "component", "i", "j")
-    more = rest.mapInArrow(_confirm(["component", "i", "j"], True), "a bigint, b bigint")
+    more = rest.mapInArrow(_confirm(["component", "i", "j"], True, form), "a bigint, b bigint")
     joined = connected_components(links.union(more))
     return groups.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
@@ -310,14 +353,15 @@ def _window(*keys: str):
     return Window.partitionBy(*keys)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    sketched = cut_lineage(sketches(docs))
+    form = shape(size, similarity)
+    sketched = cut_lineage(sketches(docs, form))
     listed = sketched.where("doc_id is not null and n_shingles > 0")
     classes = cut_lineage(listed.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature")))
     # Rows that share a doc_id join the classes of their texts.
     bridges = listed.groupBy("doc_id").agg(F.min("set_hash").alias("x"), F.max("set_hash").alias("y")).where("x != y").limit(1).count()
-    found = link_components(docs, candidate_groups(classes.select("node", "signature")))
+    found = link_components(docs, candidate_groups(classes.select("node", "signature"), form), form)
     of_class = classes.select("set_hash", "node").join(found, "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
     rows = sketched.join(of_class, "set_hash", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
@@ -330,9 +374,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """docs with one document of each component; of repeated rows (same doc_id and text) one stays."""
-    dropped = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
+    dropped = near_duplicates(docs, size, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
     ids = F.col("`doc_id`").cast("bigint")
     kept = docs.join(dropped, ids == F.col("__dropped"), "left_anti")
     named, unnamed = kept.where("doc_id is not null"), kept.where("doc_id is null")

@@ -4,11 +4,12 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 
-from reelspark.llm import html_text, stupid_backoff
+from reelspark.llm import html_text, near_duplicates, stupid_backoff
 
 
 def test_window_sums_decide_inside_and_outside_of_an_article():
@@ -47,3 +48,17 @@ def test_a_frequent_ngram_is_one_row_a_chunk():
     TaskContext._getOrCreate()._partitionId = 0
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["same " * 5000, "same " * 5000])], ["doc_id", "text"])
     assert sum(len(k) for b in ask(iter([batch])) for k in b.column(4).to_pylist()) == 4  # total, and one n-gram of each order
+
+
+def test_copies_with_an_appended_passage_go_at_a_lower_similarity(spark):
+    words = [f"v{i}" for i in range(121)]
+    docs = spark.createDataFrame([(1, " ".join(words[:100])), (2, " ".join(words[:120])), (3, "else " * 9)], "doc_id bigint, text string")
+    assert {r.doc_id for r in near_duplicates.keep_one(docs, 5, (80, 100)).collect()} == {1, 3}
+    assert {r.doc_id for r in near_duplicates.near_duplicates(docs).where("kept").collect()} == {1, 2, 3}
+
+
+def test_shapes_miss_few_pairs():
+    assert near_duplicates.shape(3, (85, 100)) == near_duplicates.Shape(3, (85, 100), 5, 14)
+    form = near_duplicates.shape(5, (80, 100))
+    rng = np.random.default_rng(22)
+    assert (rng.binomial(form.positions, 0.2, 1_000_000) > form.max_distance).sum() <= 5
