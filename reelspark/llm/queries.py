@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
+from reelspark.llm import bit_sliced, decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quadratic_discriminant": op1_quadratic_discriminant,
     "op2_hamming_join": op2_hamming_join,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_packing": op8_vector_packing,
     "op9_revisits": op9_revisits,
     "op10_line_blocks": op10_line_blocks,
+    "op12_bit_sliced": op12_bit_sliced,
 }
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE: dict[str, str] = {
@@ -214,4 +219,15 @@ ORACLE: dict[str, str] = {
                 chr(10) || 'date: day ' || (time // 1000) || chr(10) || 'etag: ' || coalesce(new_tag, p.tag) END AS headers
         FROM judged
     """,
+    "op12_bit_sliced": r"""
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20
+    """,
 }
