@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import bit_sliced, decontamination, html_text, near_duplicates, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
+from reelspark.llm import bit_sliced, decontamination, html_text, near_duplicates, norm_buckets, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_buckets.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quadratic_discriminant": op1_quadratic_discriminant,
     "op2_hamming_join": op2_hamming_join,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_revisits": op9_revisits,
     "op10_line_blocks": op10_line_blocks,
     "op12_bit_sliced": op12_bit_sliced,
+    "op13_norm_buckets": op13_norm_buckets,
 }
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE: dict[str, str] = {
@@ -230,4 +235,27 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20
     """,
+    "op13_norm_buckets": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+        ), sizes AS (
+            SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_all FROM d WHERE len(w) > 0
+        ), counts AS (
+            SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY ALL
+        ), items AS (
+            SELECT row_number() OVER () AS i, item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), asked AS (
+            SELECT i, item_id, t, count(*) AS c FROM (SELECT i, item_id, unnest(w) AS t FROM items) GROUP BY ALL
+        ), weights AS (
+            SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM counts, sizes GROUP BY t, n_docs
+        ), scores AS (
+            SELECT i, item_id, r, doc_id,
+                sum(c * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_all))))::BIGINT AS score
+            FROM asked JOIN weights USING (t) JOIN counts USING (t), sizes GROUP BY ALL
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
+        ) WHERE rank <= 10
+    """,
 }
