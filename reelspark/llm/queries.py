@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import bit_sliced, decontamination, html_text, near_duplicates, norm_buckets, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
+from reelspark.llm import bit_sliced, conversation_repair, decontamination, html_text, near_duplicates, norm_buckets, packing, quality_classifier, quality_rules, revisits, stupid_backoff, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
 def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -88,9 +92,67 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_packing": op8_vector_packing,
     "op9_revisits": op9_revisits,
     "op10_line_blocks": op10_line_blocks,
+    "op11_path_ranking": op11_path_ranking,
     "op12_bit_sliced": op12_bit_sliced,
     "op13_norm_buckets": op13_norm_buckets,
 }
+
+
+def _repair_sql() -> str:
+    """A forward search: the least (cost, audit, lines) for each conversation, row and state."""
+    far = 1 << 40
+    arc = lambda b, cost, letter, line: f"{{'c': {b}.c + {cost}, 'a': {b}.a || '{letter}', 't': {f'list_append({b}.t, {line})' if line else f'{b}.t'}}}"
+    insert = lambda b, role: arc(b, 2, "I", f"'{role}:'")
+    delete = lambda b: arc(b, 3, "D", "")
+    keep = lambda b, initial: arc(b, f"CASE WHEN usable AND role LIKE '{initial}%' THEN more ELSE {far} END", "K", "role || ':' || text")
+    rerole = lambda b, role: arc(b, f"CASE WHEN usable THEN 2 + more ELSE {far} END", "R", f"'{role}:' || text")
+    to_user = ", ".join(x for b in ("b0", "b1", "b3") for x in (keep(b, "u"), rerole(b, "user")))
+    return f"""
+        WITH RECURSIVE marked AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+                flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                    lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, 4294967295::BIGINT)) % 20 AS m
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+                CASE m WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN m = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM marked WHERE m <> 0
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+                right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending FROM damaged
+        ), judged AS (
+            SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+            FROM numbered
+        ), ready AS (
+            SELECT *, fault NOT IN ('blank', 'duplicate') AS usable, (fault = 'truncated')::BIGINT AS more FROM judged
+        ), steps AS (
+            SELECT conv_id, 0::BIGINT AS i, b0, {{'c': {far}::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS b1, b2, {insert("b2", "assistant")} AS b3
+            FROM (SELECT conv_id, b0, {insert("b0", "user")} AS b2
+                FROM (SELECT DISTINCT conv_id, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS b0 FROM conversations))
+            UNION ALL
+            SELECT conv_id, i, b0, b1, b2, list_min([b3, {insert("b2", "assistant")}]) AS b3
+            FROM (SELECT conv_id, i, b0, b1, list_min([b2, {insert("b0", "user")}, {insert("b1", "user")}, {insert("b3", "user")}]) AS b2, b3
+                FROM (SELECT s.conv_id, r.i, {delete("b0")} AS b0, list_min([{delete("b1")}, {keep("b0", "s")}]) AS b1,
+                        list_min([{delete("b2")}, {to_user}]) AS b2, list_min([{delete("b3")}, {keep("b2", "a")}, {rerole("b2", "assistant")}]) AS b3
+                    FROM steps s JOIN ready r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1))
+        ), best AS (
+            SELECT conv_id, arg_max(list_min([b0, b3]), i) AS b FROM steps GROUP BY conv_id
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM ready GROUP BY conv_id
+        )
+        SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, b.b.c AS cost, b.b.a AS audit, sha256(array_to_string(b.b.t, chr(10))) AS repaired_sha256
+        FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+    """
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE: dict[str, str] = {
     "op2_hamming_join": rf"""
@@ -224,6 +286,7 @@ ORACLE: dict[str, str] = {
                 chr(10) || 'date: day ' || (time // 1000) || chr(10) || 'etag: ' || coalesce(new_tag, p.tag) END AS headers
         FROM judged
     """,
+    "op11_path_ranking": _repair_sql(),
     "op12_bit_sliced": r"""
         WITH v AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
