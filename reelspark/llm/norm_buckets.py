@@ -9,7 +9,7 @@ vector of its term counts, and a score is their inner product.
    query only if query norm x largest norm (Cauchy-Schwarz) reaches the query's threshold: the K-th best score that the task has found so
    far. As norms fall and thresholds rise, a chunk ends at the first bucket that no query wants.
 3. Inside a bucket the coordinates of a query are split: the focus, those with the largest weights, is summed from short posting lists; for the others
-   stands the smaller one of two bounds, rest norm x residual norm of the document and the largest possible impacts.
+   stands the smaller one of two bounds, rest norm x residual norm of the document and the bucket's largest impacts of these terms.
 4. Pairs whose bound reaches the threshold are scored anew, over all coordinates, in 64-bit integers.
 5. Tasks give K rows a query; a window keeps the K best of all.
 
@@ -39,6 +39,7 @@ K = 10
 K1, B = 1000, 75  # saturation and length normalisation, in thousandths and per cent
 UNIT = 1_000_000_000
 BUCKET = 128
+FOCUS = 80  # per cent of a query's terms, the heaviest ones, that are summed before the bound
 CHUNK_TERMS = 1_000_000
 BLOCK_BYTES = 1_000_000
 SLACK = 1 + 1e-9
@@ -122,10 +123,10 @@ class Queries:
         self.query, self.term, self.count, potential = self.query[order], self.term[order], self.count[order], potential[order]
         self.starts = np.r_[0, np.cumsum(np.bincount(self.query, minlength=size))]
         place = np.arange(len(order)) - self.starts[self.query]
-        focus = place < np.maximum(np.diff(self.starts)[self.query] // 2, 1)
+        focus = place < np.maximum(np.diff(self.starts)[self.query] * FOCUS // 100, 1)
         square = lambda chosen: np.bincount(self.query[chosen], self.count[chosen].astype(float) ** 2, size)
         self.norm, self.rest_norm = np.sqrt(square(np.ones(len(order), bool))), np.sqrt(square(~focus))
-        self.rest_most = np.bincount(self.query[~focus], potential[~focus].astype(float) * (UNIT // K1), size)
+        self.rest = np.flatnonzero(~focus)
         of_term = np.flatnonzero(focus)
         by, self.focus_starts = _csr(self.term[of_term], len(self.vocabulary))
         self.focus = of_term[by]
@@ -182,7 +183,10 @@ def search_chunk(queries: Queries, best: Best, ids: np.ndarray, lengths: list[in
         partial = np.bincount(cell, (queries.count[of] * y[which]).astype(float), len(docs) * width).reshape(-1, width)
         seen = np.bincount(cell, y[which].astype(float) ** 2, len(docs) * width).reshape(-1, width)
         rest = np.sqrt(np.maximum(square[docs][:, None] - seen, 0) + 1e-9 * square[docs][:, None])
-        bound = (partial + np.minimum(queries.rest_norm * rest, queries.rest_most)) * SLACK
+        highest = np.zeros(size, np.int64)
+        np.maximum.at(highest, t, y)
+        most = np.bincount(queries.query[queries.rest], (queries.count * highest[queries.term])[queries.rest].astype(float), width)
+        bound = (partial + np.minimum(queries.rest_norm * rest, most)) * SLACK
         d, q = np.nonzero((bound >= best.threshold) & (bound > 0) & active)
         if not len(d):
             continue
