@@ -1,4 +1,4 @@
-"""Connected components of an edge table by rounds of local union-find."""
+"""Connected components of an edge table by alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelspark.session import cut_lineage
 
-SALTS = 8
+MOST_HELD = 1_000_000  # nodes that a task joins by itself before it starts anew
 
 
 class Unions(dict):
@@ -33,41 +33,56 @@ class Unions(dict):
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins all edges of a partition; gives each edge's ends their root, once for each edge."""
-    unions, ends = Unions(), set()
+    """Joins the edges of a partition as they come, up to MOST_HELD nodes at a time; one edge for each node that isn't a root."""
+    unions = Unions()
+
+    def found() -> pa.RecordBatch:
+        rows = sorted((x, unions.find(x)) for x in unions)
+        return pa.RecordBatch.from_arrays([pa.array(np.array([r[k] for r in rows], np.int64)) for k in (0, 1)], ["a", "b"])
+
     for batch in batches:
-        a, b, told = (c.to_pylist() for c in batch.columns)
-        for x, y, t in zip(a, b, told):
+        for x, y in zip(*(c.to_pylist() for c in batch.columns)):
             unions.join(x, y)
-            if t:
-                ends.update((x, y))
-    rows = sorted((x, r) for x in ends if (r := unions.find(x)) != x)
-    yield pa.RecordBatch.from_arrays([pa.array(np.array([r[k] for r in rows], np.int64)) for k in (0, 1)], ["a", "b"])
+        if len(unions) > MOST_HELD:
+            yield found()
+            unions = Unions()
+    yield found()
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    """a, least: the smallest b of each a, combined before it is shuffled."""
+    return edges.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("least"))
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is led to the smallest node around it (itself included)."""
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    led = both.join(_least(both), F.col("a") == F.col("hub")).where("b > a")
+    return led.select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Every smaller neighbour of a node, and the node, is led to the smallest of them."""
+    led = edges.join(_least(edges), F.col("a") == F.col("hub"))
+    return led.select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b")).distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node that can be reached) for all nodes of edges (a, b) with two different ends.
 
-    An edge is kept as (larger end, smaller end). In each round after the first it meets the edges of its larger end, and the edges that lead
-    on from its smaller end; a partition joins what has met and points everything to the smallest node. The edges that lead
-    on from a node are copied to SALTS places, so that the many edges of a hub needn't meet in one of them. Rounds end when
-    nothing changes. They are checkpointed, and only a count and a checksum reach the driver. Edges with a NULL end are
-    dropped; an empty table gives no rows.
+    An edge is kept as (larger end, smaller end). A round leads nodes to the smallest neighbour of a node they share: a minimum for each node,
+    joined back to its edges, so a round has at most twice the edges and a hub's edges are spread by Spark's skew join. The number of rounds
+    grows with the logarithm of the longest path. Rounds end when nothing changes. They are checkpointed, and only a count and a checksum
+    reach the driver. Edges with a NULL end are dropped; an empty table gives no rows.
     """
     ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
-    edges = edges.dropna(subset=["a", "b"]).where("a != b").select(*ends, F.lit(True).alias("told"))
-    # First the edges of each larger end alone: it leaves about one edge for a node to copy.
-    edges = cut_lineage(edges.repartition("a").mapInArrow(_contract, "a bigint, b bigint").distinct())
+    edges = edges.dropna(subset=["a", "b"]).where("a != b").select(*ends)
+    edges = cut_lineage(edges.mapInArrow(_contract, "a bigint, b bigint").distinct())
     before = None
     while True:
-        on = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        leads = edges.select("a", "b", F.col("a").alias("node"), on.alias("salt"))
-        leads = leads.withColumn("told", F.col("salt") == F.pmod(F.xxhash64("a"), F.lit(SALTS)))
-        comes = edges.select("a", "b", F.col("b").alias("node"), F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(True).alias("told"))
-        met = leads.union(comes).repartition("node", "salt").select("a", "b", "told")
-        edges = cut_lineage(met.mapInArrow(_contract, "a bigint, b bigint").distinct())
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before or not now[0]:
             break
         before = now
+        edges = cut_lineage(_small_star(_large_star(edges)))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reelcheck import compare
-from reelspark.llm import decontamination, html_text, near_duplicates, packing, queries, quality_rules, revisits, stupid_backoff, tokens, url_filter
+from reelspark.llm import components, decontamination, html_text, near_duplicates, packing, queries, quality_rules, revisits, stupid_backoff, tokens, url_filter
 from reelspark.llm.components import connected_components
 
 SF_DIR = os.environ.get("REGISTERED_SF_DIR", "/root/testdata/sf0.001")
@@ -122,6 +122,21 @@ def test_connected_components(spark):
     assert got == {x: find(x) for x in root}
 
 
+@pytest.mark.parametrize("shape", ["chain", "hub"])
+def test_components_of_long_chains_and_hubs_take_few_rounds(spark, monkeypatch, shape):
+    rounds, cut = [], components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: rounds.append(cut(df)) or rounds[-1])
+    monkeypatch.setattr(components, "MOST_HELD", 500)
+    rng, n = random.Random(8), 20_000
+    ids = list(range(n))
+    rng.shuffle(ids)
+    edges = list(zip(ids, ids[1:])) if shape == "chain" else [(n, i) for i in range(n)]
+    rng.shuffle(edges)
+    got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(8))
+    assert got.agg(F.count("*"), F.countDistinct("node"), F.max("component")).first() == ((n, n, 0) if shape == "chain" else (n + 1, n + 1, 0))
+    assert len(rounds) <= 20 and all(r.count() <= 2 * len(edges) for r in rounds)
+
+
 PIECES = st.one_of(st.text(max_size=12), st.sampled_from(["the", " ", "\n", "  ", "\t", "can't", "I'll", "x1y", "...", "!!", "日本", "　", "\x1c", "é", "<|endoftext|>", "\0"]))
 
 
