@@ -200,18 +200,14 @@ def quality_rules(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that the rules keep, with their columns as they were."""
-    stats = with_stats(docs, out="__rules_stats")
-    model = fit(cut_lineage(stats.select("__rules_stats")), "__rules_stats")
-    votes = rule_votes(F.col("__rules_stats"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    # The row number keeps the filter above the projections: pushed down, it would compute all statistics once for each vote.
-    voted = stats.select(
-        *own,
-        base_failed(F.col("__rules_stats")).alias("__rules_failed"),
-        *(v.alias(f"__rules_{k}") for k, v in votes.items()),
-        F.monotonically_increasing_id().alias("__rules_row"),
-    )
-    posterior = model.posterior({k: F.col(f"__rules_{k}") for k in RULES})
-    return voted.where((F.col("__rules_row") >= 0) & ~F.col("__rules_failed") & (posterior >= threshold)).select(*own)
+def keep_good(docs: DataFrame, threshold: float = 0.5, with_base: bool = False) -> DataFrame:
+    """The rows of docs whose posterior reaches the threshold, with their columns as they were.
+
+    The posterior stands in for a filter that every rule must pass; with_base adds the two hard limits of base_failed, which also drop every
+    text of less than 50 words. A row travels as one struct, so its column names can't clash, and its statistics are stored with it: texts
+    are judged once."""
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    stats = cut_lineage(with_stats(docs.select(own.alias("row"), F.col("`text`").alias("text"))).select("row", "stats"))
+    failed, posterior, _ = judged(stats, fit(stats))
+    good = (posterior >= threshold) & ~failed if with_base else posterior >= threshold
+    return stats.where(good).select("row.*")
