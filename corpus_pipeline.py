@@ -1,9 +1,16 @@
-"""From raw documents to packed training sequences, one stored stage after another."""
+"""From raw documents to packed training sequences, one stored stage after another.
+
+Defined cases of every stage: a NULL text counts as empty; an empty text is rejected by quality_rules only if its votes say so, is
+never toxic, has no near-duplicates and no benchmark passage, and is packed as its end token; a row without doc_id is judged like any other; repeated
+rows are judged each for itself, and near_duplicates keeps one of them; an empty table stays empty; further columns pass through whatever
+their names are.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from reelspark.llm import decontamination, near_duplicates, packing, quality_rules, toxicity
@@ -11,7 +18,7 @@ from reelspark.session import ensure_checkpoint_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed quality rules accept."""
+    """Documents that the weighed quality rules accept: a posterior of one half or more."""
     return quality_rules.keep_good(docs)
 
 
@@ -21,8 +28,8 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id."""
-    return near_duplicates.keep_one(docs)
+    """One document of each group of near-duplicates (five words, 0.8 or more): the smallest doc_id."""
+    return near_duplicates.keep_one(docs, 5, (80, 100))
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +53,35 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents. Each is written as Parquet to the shared checkpoint folder and read again by the next."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stage that an earlier run has finished; the mark beside it is written last."""
+    try:
+        spark.read.parquet(f"{path}.done")
+    except AnalysisException:
+        return None
+    return spark.read.parquet(path)
+
+
+def run(spark: SparkSession, sf_dir: str, run_id: str | None = None) -> DataFrame:
+    """The stages over documents. Each is written as Parquet to the shared checkpoint folder and read again by the next.
+
+    A run with a run_id takes up the stages that an earlier run of this id has finished, for example after a lost driver. The folder
+    `pipeline-<run_id>` is the caller's to delete."""
     ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{spark.sparkContext.getCheckpointDir() if run_id is None else _shared(spark)}/pipeline-{run_id or uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        stored = _stored(spark, path) if run_id else None
+        if stored is None:
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+            if run_id:
+                spark.range(1).write.mode("overwrite").parquet(f"{path}.done")
+            stored = spark.read.parquet(path)
+        docs = stored
     return docs
+
+
+def _shared(spark: SparkSession) -> str:
+    """The folder that outlives a session; the checkpoint folder itself has a name of its own in each session."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
