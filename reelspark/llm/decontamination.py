@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from reelspark.llm.rows import packed, unpacked
+
 # One byte to one byte: A-Z to a-z, other ASCII that isn't a word character to a space.
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256)
@@ -231,8 +233,8 @@ def with_matches(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the rows that hold a window of a benchmark item; columns as they were."""
-    found = with_matches(docs, benchmark, out="__found", **options)
-    return found.where(F.size("__found.spans") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = with_matches(packed(docs, "text"), benchmark, **options)
+    return unpacked(found.where(F.size("found.spans") == 0), docs, "text")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

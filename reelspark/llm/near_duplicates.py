@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.llm.components import Unions, connected_components
+from reelspark.llm.rows import packed, unpacked
 from reelspark.session import cut_lineage
 
 SHINGLE = 3
@@ -376,8 +377,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """docs with one document of each component; of repeated rows (same doc_id and text) one stays."""
-    dropped = near_duplicates(docs, size, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    ids = F.col("`doc_id`").cast("bigint")
-    kept = docs.join(dropped, ids == F.col("__dropped"), "left_anti")
-    named, unnamed = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return named.dropDuplicates(["doc_id", "text"]).union(unnamed)
+    dropped = near_duplicates(docs, size, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("dropped")).distinct()
+    rows = packed(docs, "doc_id", "text").withColumn("id", F.col("doc_id").cast("bigint"))
+    kept = rows.join(dropped, F.col("id") == F.col("dropped"), "left_anti")
+    named, unnamed = kept.where("id is not null").dropDuplicates(["id", "text"]), kept.where("id is null")
+    return unpacked(named.union(unnamed), docs, "doc_id", "text")

@@ -151,8 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Dis
     from pyspark.sql.types import ArrayType
 
     ids = training_ids(labels, "quality", most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most sum(most) ids
-    rows = _with(rows, "x", ArrayType(DoubleType()), lambda: lambda x: pa.array(list(x), pa.list_(pa.float64()))).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = _with(rows, "x", ArrayType(DoubleType()), lambda: lambda x: pa.array(list(x), pa.list_(pa.float64())))
+    rows = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect()  # one row for each sampled id
     rows = sorted((r["doc_id"], r["y"], tuple(r["x"])) for r in rows)
     x = np.array([r[2] for r in rows], float).reshape(-1, N_STATS)
     return learn(x, np.array([r[1] for r in rows], int))

@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelspark.llm.rows import packed, unpacked
 from reelspark.session import cut_lineage
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -204,10 +205,8 @@ def keep_good(docs: DataFrame, threshold: float = 0.5, with_base: bool = False)
     """The rows of docs whose posterior reaches the threshold, with their columns as they were.
 
     The posterior stands in for a filter that every rule must pass; with_base adds the two hard limits of base_failed, which also drop every
-    text of less than 50 words. A row travels as one struct, so its column names can't clash, and its statistics are stored with it: texts
-    are judged once."""
-    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    stats = cut_lineage(with_stats(docs.select(own.alias("row"), F.col("`text`").alias("text"))).select("row", "stats"))
+    text of less than 50 words. Statistics are stored with the rows: texts are judged once."""
+    stats = cut_lineage(with_stats(packed(docs, "text")))
     failed, posterior, _ = judged(stats, fit(stats))
     good = (posterior >= threshold) & ~failed if with_base else posterior >= threshold
-    return stats.where(good).select("row.*")
+    return unpacked(stats.where(good), docs, "text")

@@ -1,23 +1,26 @@
 """Toxicity by compression distance: how much shorter a window of text gets with a dictionary of toxic text than with an ordinary one.
 
-Training (on a bounded sample of labelled documents, see MOST) finds the character sequences that set toxic texts apart and trains
-two zstandard dictionaries of equal length: both hold the commonest ordinary words, the toxic one also the toxic spans, the other
-further ordinary words in their place. Windows are words with a space on either side. They are encoded as UTF-16, which
-doubles the cost of letters a dictionary doesn't know but not that of a match, and carry a fixed prefix known to both
-dictionaries, so that lengths of short windows are comparable.
+Training (on a bounded sample of labelled documents, see MOST) builds two zstandard dictionaries of equal length from toxic and from
+ordinary texts. Both hold the commonest ordinary words. The toxic one also holds the spans that toxic texts share: word beginnings and
+whole words of any characters whose number of toxic documents chance doesn't explain (a binomial tail over all candidates, Bonferroni's bound)
+and that are MIN_RATIO times likelier there; the other one holds further ordinary words in their place.
+
+Windows are raw words, digits and symbols included, with a space on either side; a word beyond WINDOW characters is read in overlapping
+pieces. Each character is coded by two bytes of a running hash of its word, so that a match is a common beginning: neither dictionary can piece a
+word together from the middles of others, and literals cost the same with both. A fixed prefix known to both makes lengths of short windows comparable.
 
 A window's distance is its net length with the toxic dictionary over that with the ordinary one. A document is scored from its
-smallest distance and from its numbers of windows below two thresholds; a logistic curve fitted on a second sample turns that into
-a probability. Every window of every text is read; words are remembered, as most of them return.
+smallest distance and from the number and share of its distinct windows below a threshold. Threshold and logistic curve are calibrated on a second
+sample. Every window of every text is read; words are remembered, as most of them return.
 
-Defined cases: a NULL or empty text, or one without letters, has no windows and gets the score of a document without evidence; if
+Defined cases: a NULL or empty text has no windows and gets the score of a document without evidence; if
 labels hold only one class, all documents get the smoothed share of toxic labels; an empty table gives no rows; rows without doc_id are
-scored; other columns are not read.
+scored; a sampled doc_id with several texts is learnt from the least of them; other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,26 +32,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from reelspark.llm.labels import held_out, training_ids
+from reelspark.llm.rows import packed, unpacked
 
 MOST = (6000, 1500)  # ordinary and toxic documents that training reads at most; two thirds train, one third calibrates
 LONGEST = 50_000  # characters; longer documents are not taken into the training sample
-GRAM = 5
-MIN_SHARE, MIN_RATIO = 0.008, 30.0
-ORDINARY_WORDS = 1500
+SHORTEST, LONGEST_SPAN = 3, 8  # characters of a word beginning
+MIN_COUNT, MIN_RATIO = 3, 6.0
+ORDINARY_WORDS = 500
 CARRIER = b"#0123456789abcdefghijklmnopqrstuvwxyz#"
-MIN_GAIN = 5  # bytes a window must save before its distance counts
-NEAR, NEARER = 0.4, 0.3
-WINDOW = 40  # characters; longer words are cut
+THRESHOLDS = (0.95, 0.9, 0.85, 0.8, 0.7, 0.6)
+WINDOW = 40  # characters; longer words are cut into pieces that overlap by half
 REMEMBERED = 200_000
-_WORDS = re.compile(r"[^\W\d_]+").findall
 
 
 def windows(text: str | None) -> Iterator[str]:
-    for w in _WORDS((text or "").lower()):
+    for w in (text or "").lower().split():
         if len(w) <= WINDOW:
             yield w
         else:
-            yield from (w[i : i + WINDOW] for i in range(0, len(w), WINDOW))
+            yield from (w[i : i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
+
+
+def coded(text: str) -> bytes:
+    """Two bytes for each character, from a hash of the word up to it."""
+    out, h = bytearray(), 0
+    for c in text:
+        h = 7 if c == " " else (h * 40503 + ord(c) * 2654435761 + 12345) & 0xFFFFFFFF
+        out += ((h ^ h >> 15) & 0xFFFF).to_bytes(2, "little")
+    return bytes(out)
 
 
 class Distances(dict):
@@ -57,29 +68,36 @@ class Distances(dict):
     def __init__(self, toxic: bytes, ordinary: bytes):
         import zstandard as z
 
-        # Short windows need the optimal parser; frame decoration is left out.
+        # Short windows need an optimal parser; frame decoration is left out.
         settings = z.ZstdCompressionParameters.from_level(
-            16, min_match=3, window_log=17, hash_log=14, chain_log=14, write_content_size=0, write_checksum=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS
+            13, min_match=3, window_log=17, hash_log=14, chain_log=14, write_content_size=0, write_checksum=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS
         )
         self.size = []
         for content in (toxic, ordinary):
             d = z.ZstdCompressionDict(content + CARRIER, dict_type=z.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=settings)
             self.size.append(z.ZstdCompressor(dict_data=d, compression_params=settings).compress)
         self.empty = [len(f(CARRIER)) for f in self.size]
 
     def __missing__(self, word: str) -> float:
-        data = CARRIER + f" {word} ".encode("utf-16-le", "surrogatepass")
-        toxic, ordinary = (len(f(data)) - e for f, e in zip(self.size, self.empty))
-        d = toxic / ordinary if ordinary - toxic >= MIN_GAIN else 1.0
+        data = CARRIER + coded(f" {word} ")
+        toxic, ordinary = (max(len(f(data)) - e, 1) for f, e in zip(self.size, self.empty))
+        d = min(toxic / ordinary, 1.0)
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = d
         return d
 
 
-def evidence(text: str | None, distances: Distances) -> tuple[float, float, float]:
-    near = [d for d in map(distances.__getitem__, windows(text)) if d < 1.0]
-    return (1 - min(near, default=1.0), float(np.log1p(sum(d <= NEAR for d in near))), float(np.log1p(sum(d <= NEARER for d in near))))
+def helped(text: str | None, distances: Distances) -> tuple[list[float], int]:
+    """Distances below 1 of the distinct windows, and the number of these windows."""
+    distinct = set(windows(text))
+    return [d for d in map(distances.__getitem__, distinct) if d < 1.0], len(distinct)
+
+
+def evidence(found: tuple[list[float], int], threshold: float) -> tuple[float, float, float]:
+    near = [d for d in found[0] if d <= threshold]
+    return (1 - min(near, default=1.0), float(np.log1p(len(near))), 100 * len(near) / (found[1] + 20))
 
 
 @dataclass(frozen=True)
@@ -87,45 +105,50 @@ class ToxicModel:
     toxic: bytes
     ordinary: bytes
     weights: tuple[float, ...]  # intercept and the three kinds of evidence
+    threshold: float = 0.0
 
     def probability(self, found: np.ndarray) -> np.ndarray:
         x = self.weights[0] + found @ np.asarray(self.weights[1:])
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _spans(word: str, marks: set[str]) -> list[str]:
-    """Longest stretches of ` word ` that are made of marked sequences."""
-    w, out, end, begin = f" {word} ", [], -1, 0
-    for i in range(len(w) - GRAM + 1):
-        if w[i : i + GRAM] in marks:
-            if i > end:
-                if end > 0:
-                    out.append(w[begin:end])
-                begin = i
-            end = i + GRAM
-    return [*out, w[begin:end]] if end > 0 else out
+def _candidates(word: str) -> Iterator[str]:
+    whole = f" {word} "
+    yield from (whole[: k + 1] for k in range(SHORTEST, min(LONGEST_SPAN, len(word)) + 1))
+    yield whole
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+def toxic_spans(toxic: list[str], ordinary: list[str]) -> dict[str, int]:
+    """Spans that mark toxic documents, with their number of toxic documents."""
     counts = []
     for texts in (toxic, ordinary):
         c: Counter[str] = Counter()
         for t in texts:
-            c.update({f" {w} "[i : i + GRAM] for w in set(windows(t)) for i in range(len(w) + 3 - GRAM)})
+            c.update({s for w in set(windows(t)) for s in _candidates(w)})
         counts.append(c)
-    least = max(3, MIN_SHARE * len(toxic))
-    rate = lambda c, n: (c + 0.5) / n
-    marks = {g for g, c in counts[0].items() if c >= least and rate(c, len(toxic)) > MIN_RATIO * rate(counts[1].get(g, 0), len(ordinary))}
-    spans: Counter[str] = Counter()
-    for t in toxic:
-        spans.update({s for w in set(windows(t)) for s in _spans(w, marks)})
-    chosen = sorted((s for s, c in spans.items() if c >= least), key=lambda s: (spans[s], s))  # commonest last, hence nearest
+    share = len(toxic) / (len(toxic) + len(ordinary))
+    seen = np.sort(np.fromiter((counts[0] + counts[1]).values(), np.int64))
+    out = {}
+    for s, c in counts[0].items():
+        o = counts[1].get(s, 0)
+        if c < MIN_COUNT or (c + 0.5) / len(toxic) <= MIN_RATIO * (o + 0.5) / len(ordinary):
+            continue
+        # Chance that a candidate of this frequency is found in so many toxic documents, times the candidates that are as frequent.
+        chance = math.lgamma(c + o + 1) - math.lgamma(c + 1) - math.lgamma(o + 1) + c * math.log(share)
+        if chance + math.log(len(seen) - np.searchsorted(seen, c + o)) < math.log(0.1):
+            out[s] = c
+    return out
+
+
+def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    marks = toxic_spans(toxic, ordinary)
+    longer = [s for s in marks if not any(t != s and t.startswith(s) and marks[t] >= 0.8 * marks[s] for t in marks)]
+    chosen = sorted(longer, key=lambda s: (marks[s], s))  # commonest last, hence nearest
     words = Counter(w for t in ordinary for w in windows(t))
     by_count = sorted(words, key=lambda w: (-words[w], w))
-    code = lambda s: s.encode("utf-16-le", "surrogatepass")
-    own = code("".join(chosen))
-    base = code(" " + " ".join(by_count[:ORDINARY_WORDS][::-1]) + " ")
-    other = code(" ".join(by_count[ORDINARY_WORDS : ORDINARY_WORDS + len(own)]))[: len(own)]
+    own = coded("".join(chosen))
+    base = coded(" " + " ".join(by_count[:ORDINARY_WORDS][::-1]) + " ")
+    other = coded(" ".join(by_count[ORDINARY_WORDS : ORDINARY_WORDS + len(own)]))[: len(own)]
     return base + own, base + other.ljust(len(own), b" ")
 
 
@@ -145,8 +168,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> ToxicModel:
     """Learns from labels.toxic of documents that aren't held out."""
     ids = training_ids(labels, "toxic", most)
-    rows = docs.select("doc_id", "text").where(F.length("text") <= LONGEST).join(F.broadcast(ids), "doc_id").collect()  # at most sum(most)
-    rows = sorted({(r["y"], r["doc_id"], r["text"]) for r in rows})
+    sample = docs.select("doc_id", "text").where(F.length("text") <= LONGEST).join(F.broadcast(ids), "doc_id")
+    rows = sample.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text")).collect()  # at most sum(most)
+    rows = sorted((r["y"], r["doc_id"], r["text"]) for r in rows)
     train, rest = [[], []], [[], []]
     for k, (y, _, text) in enumerate(rows):
         (rest if k % 3 == 2 else train)[y].append(text)
@@ -156,10 +180,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Tox
         return ToxicModel(b"", b"", flat)
     toxic, ordinary = train_dictionaries(train[1], train[0])
     distances = Distances(toxic, ordinary)
-    x = np.array([evidence(t, distances) for texts in rest for t in texts])
+    found = [helped(t, distances) for texts in rest for t in texts]
     y = np.repeat([0.0, 1.0], [len(rest[0]), len(rest[1])])
-    w = logistic(x, y)
-    return ToxicModel(toxic, ordinary, tuple(map(float, w)))
+    fits = []
+    for threshold in THRESHOLDS:
+        x = np.array([evidence(f, threshold) for f in found])
+        w = logistic(x, y)
+        margin = np.clip((w[0] + x @ w[1:]) * (2 * y - 1), -30, 30)
+        fits.append((float(np.log1p(np.exp(-margin)).sum()), threshold, tuple(map(float, w))))
+    _, threshold, weights = min(fits)
+    return ToxicModel(toxic, ordinary, weights, threshold)
 
 
 def with_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", out: str = "toxicity") -> DataFrame:
@@ -169,7 +199,7 @@ def with_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", out: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distances = Distances(sent.value.toxic, sent.value.ordinary)
         for batch in batches:
-            found = np.array([evidence(t, distances) for t in batch.column(at).to_pylist()]).reshape(-1, 3)
+            found = np.array([evidence(helped(t, distances), sent.value.threshold) for t in batch.column(at).to_pylist()]).reshape(-1, 3)
             scores = pa.array(sent.value.probability(found), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, out])
 
@@ -185,5 +215,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7)
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """docs without the rows found toxic; columns as they were."""
-    scored = with_toxicity(docs, fit(docs, labels), out="__toxicity")
-    return scored.where(F.col("__toxicity") < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
+    scored = with_toxicity(packed(docs, "text"), fit(docs, labels))
+    return unpacked(scored.where(F.col("toxicity") < threshold), docs, "text")

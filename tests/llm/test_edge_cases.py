@@ -17,7 +17,7 @@ from reelspark.llm import (
     url_filter,
 )
 
-CLASHING = ("stats", "n_words", "score", "node", "component", "key", "found", "kept", "posterior", "words", "text_", "y")
+CLASHING = ("stats", "n_words", "score", "node", "component", "key", "found", "kept", "posterior", "words", "text_", "y", "row", "id", "toxicity", "dropped", "__rules_text")
 
 
 def document_rows():
@@ -88,6 +88,14 @@ def test_sizes_of_empty_sides(spark, docs, labels, bench):
         assert toxicity.score_documents(docs, label).where("score is null").count() == 0
 
 
+def test_a_repeated_id_is_one_training_row(spark):
+    docs = spark.createDataFrame([(3, "a b c"), *[(3, f"other {i}") for i in range(500)], (4, "x y")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)], "doc_id bigint, quality int, toxic int")
+    for module in (toxicity, quality_classifier):
+        rows = module.score_documents(docs, labels)
+        assert rows.count() == 502 and rows.where("score is null").count() == 0
+
+
 def test_packing(docs):
     rows = packing.pack_documents(docs).collect()
     assert {r.doc_id for r in rows} == {r[0] for r in document_rows()}
