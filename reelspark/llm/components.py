@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reelspark.session import cut_lineage
 
+EDGES_A_TASK = 100_000
 MOST_HELD = 1_000_000  # nodes that a task joins by itself before it starts anew
 
 
@@ -58,7 +59,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is led to the smallest node around it (itself included)."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     led = both.join(_least(both), F.col("a") == F.col("hub")).where("b > a")
-    return led.select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
+    return led.select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -84,5 +85,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        tasks = now[0] // EDGES_A_TASK + 1  # few edges need few tasks, however many partitions a shuffle has
+        edges = cut_lineage(_small_star(_large_star(edges.coalesce(tasks)).coalesce(tasks)).coalesce(tasks))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
