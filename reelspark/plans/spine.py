@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reelspark.functions.text import normalize_title, pad_imdb_id, strip_year_suffix, year_suffix
 from reelspark.operators.joins import left_join_sparse, union_all
-from reelspark.operators.numbering import serial_key
+from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.session import cut_lineage
 from reelspark.sources import writers
 from reelspark.sources.readers import read_table, run_date
@@ -135,21 +135,24 @@ def spine_order() -> list[Column]:
     """IMDb records first, then TMDB, then MovieLens, then the rest; by id within each."""
     has = F.when(F.col("imdb_id").isNotNull(), 0).when(F.col("tmdb_id").isNotNull(), 1)
     return [
-        has.when(F.col("ml_id").isNotNull(), 2).otherwise(3).asc(),
-        *[F.col(c).asc_nulls_first() for c in ["imdb_id", "tmdb_id", "ml_id", "rt_slug"]],
+        has.when(F.col("ml_id").isNotNull(), 2).otherwise(3),
+        *[F.col(c) for c in ["imdb_id", "tmdb_id", "ml_id", "rt_slug"]],
     ]
 
 
 def build_entity_spine(
-    inputs: SpineInputs, date: str | None = None, require_year: bool = True, ascii_titles: bool = False
+    inputs: SpineInputs, date: str | None = None, require_year: bool = True, ascii_titles: bool = False, lazy: bool = False
 ) -> DataFrame:
-    """``require_year=False`` with ``ascii_titles=True`` matches by ASCII title alone in the first pass."""
+    """``require_year=False`` with ``ascii_titles=True`` matches by ASCII title alone in the first pass. ``lazy=True`` runs no job while
+    the plan is built and numbers by splitters; it computes the joins anew for each reader instead of storing them."""
+    core = core_entities(inputs, ascii_titles)
     # Narrow, and read by the match passes as well as by the final join: stored once.
-    core = cut_lineage(core_entities(inputs, ascii_titles))
+    core = core if lazy else cut_lineage(core)
     matches = match_rt(core, rt_records(inputs.rt_movies, ascii_titles), require_year)
     matched = core.join(matches, "ml_id", "left").select(*SPINE_IDS)
     entities = matched.unionByName(orphan_entities(inputs, matches))
-    return serial_key(entities, spine_order(), "movie_id").withColumn("created_date", run_date(date))
+    number = lazy_serial_key if lazy else serial_key
+    return number(entities, spine_order(), "movie_id").withColumn("created_date", run_date(date))
 
 
 def resolve_all(spark: SparkSession, lake_root: str, date: str | None = None, **options) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reelspark.operators import cube
 from reelspark.operators.dedupe import first_per_key, top_n_per_group
 from reelspark.operators.joins import left_join_sparse
-from reelspark.operators.numbering import serial_key
+from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.operators.pairs import named_pair_counts, vocabulary_pair_counts
 from reelspark.operators.profile import completeness_profile
 from reelspark.operators.quality import split_quarantine
@@ -79,6 +79,22 @@ def test_serial_key_is_the_global_order(spark, partitions):
     assert sorted(r.id for r in got) == list(range(1, 3001))
 
 
+@pytest.mark.parametrize("partitions,ranges", [(1, 1), (5, 7), (3, 64)])
+def test_lazy_serial_key_runs_no_job(spark, partitions, ranges):
+    rng = random.Random(1)
+    rows = [(rng.choice([None, "a", "b"]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(partitions)
+    group = f"lazy {partitions}"
+    spark.sparkContext.setJobGroup(group, group)
+    numbered = lazy_serial_key(df, [F.col("k"), F.col("i")], "id", ranges)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    got = numbered.collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r.k, r.i) for r in sorted(got, key=lambda r: r.id)] == want
+    assert sorted(r.id for r in got) == list(range(1, 3001))
+    assert lazy_serial_key(df.limit(0), [F.col("k"), F.col("i")], "id").count() == 0
+
+
 def test_serial_key_of_nothing(spark):
     assert serial_key(spark.createDataFrame([], "i int"), [F.asc("i")], "id").count() == 0
 

@@ -67,7 +67,7 @@ def test_result_does_not_depend_on_partitioning(spark):
     for rows in (links, films, tmdb, basics, rt):
         rng.shuffle(rows)
 
-    def run(n):
+    def run(n, lazy=False):
         def df(rows, schema):
             return spark.createDataFrame(rows, schema).repartition(n)
 
@@ -78,10 +78,10 @@ def test_result_does_not_depend_on_partitioning(spark):
             df(basics, "tconst string, titleType string, primaryTitle string, startYear string"),
             df(rt, "slug string, title string, release_year int"),
         )
-        return sorted(map(tuple, spine.build_entity_spine(inputs, "2024-01-01").collect()))
+        return sorted(map(tuple, spine.build_entity_spine(inputs, "2024-01-01", lazy=lazy).collect()))
 
     once = run(1)
-    assert once == run(6)
+    assert once == run(6) == run(3, lazy=True)
     ids = [r[0] for r in once]
     assert ids == list(range(1, len(once) + 1))
     slugs = [r[4] for r in once if r[4]]
