@@ -255,9 +255,7 @@ def _quarantine_rows(spark, sf_dir):
         "nullif(l_orderkey, 7) as movie_id", "l_suppkey as person_id", "l_returnflag as category"
     )
     parents = [("person_id", star.dim_person, "person_id"), ("movie_id", star.dim_movie, "movie_id")]
-    loaded, rejected = quality.split_quarantine(credits, ["movie_id", "person_id"], parents)
-    ok = loaded.select("*", F.lit("loaded").alias("reason"), F.lit(1).cast("bigint").alias("copies"))
-    return ok.unionByName(rejected)
+    return quality.judge_rows(credits, ["movie_id", "person_id"], parents)
 
 
 def _language_distribution(spark, sf_dir):

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspark.operators.dedupe import first_per_key
-from reelspark.operators.joins import prefixed, same_key, union_all
+from reelspark.operators.joins import prefixed
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,29 +40,51 @@ def check_row(table: str, check: str, violations: DataFrame) -> DataFrame:
     )
 
 
-def split_quarantine(
-    df: DataFrame, key: list[str], parents: list[tuple[str, DataFrame, str]] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """Split rows into loadable ones and rejected ones.
+LOADED = "loaded"
+_LANES = 64  # a key's conflicting rows are compared in so many parts first
 
-    A row is rejected for a NULL key part (``null_key``), a reference without a parent (``orphan``), or because an
-    earlier row with its key is loaded (``duplicate_key``). Identical rows are folded into one with their number
-    first; the rejected side states ``reason`` and ``copies``.
+
+def judge_rows(
+    df: DataFrame, key: list[str], parents: list[tuple[str, DataFrame, str]] = (), stored: DataFrame | None = None, fits: Column | None = None
+) -> DataFrame:
+    """Every row with its ``reason`` and ``copies``, in one pass over df: ``loaded``, or why it is rejected.
+
+    In this order: a value that doesn't fit (``does_not_fit``, where ``fits`` is false), a NULL key part (``null_key``), a reference without a
+    parent (``orphan``; a NULL reference has none), a key of ``stored`` rows (``already_loaded``), or a key that another row has taken
+    (``duplicate_key``: the least by the other columns is loaded). Identical rows are folded into one with their number first. The rows of a key are ranked in lanes by
+    hash, then the lanes' first rows: no key needs one task for all its rows.
     """
-    folded = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in key]
+    rows = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    null_key = folded.where(~has_key).withColumn("reason", F.lit("null_key"))
-    keyed = folded.where(has_key)
-    rejected = [null_key]
-    for column, parent, parent_key in parents:
-        rejected.append(orphans(keyed, parent, column, parent_key).withColumn("reason", F.lit("orphan")))
-        keyed = keyed.join(parent.select(F.col(parent_key).alias(column)), column, "left_semi")
-    loaded = first_per_key(keyed.drop("copies"), key).select(*df.columns)
-    marked = prefixed(loaded, df.columns).withColumn("_loaded", F.lit(1))
-    spare = (
-        keyed.join(marked, same_key(df.columns), "left")
-        .select(*df.columns, (F.col("copies") - F.coalesce("_loaded", F.lit(0))).alias("copies"))
-        .where(F.col("copies") > 0)
-        .withColumn("reason", F.lit("duplicate_key"))
+    reason = F.when(~(F.lit(True) if fits is None else fits), "does_not_fit").when(~has_key, "null_key")
+    for i, (column, parent, parent_key) in enumerate(parents):
+        known = parent.select(F.col(parent_key).alias(f"_parent{i}")).distinct()
+        rows = rows.join(known, F.col(column) == F.col(f"_parent{i}"), "left")
+        reason = reason.when(F.col(f"_parent{i}").isNull(), "orphan")
+    if stored is not None:
+        taken = prefixed(stored.select(*key), key, "_stored_").distinct()
+        rows = rows.join(taken, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_stored_{k}") for k in key]), "left")
+        reason = reason.when(F.col(f"_stored_{key[0]}").isNotNull(), "already_loaded")
+    mark = F.xxhash64(*df.columns)
+    rows = rows.select(*df.columns, "copies", reason.alias("_reason"), mark.alias("_mark"))
+    is_open = F.col("_reason").isNull()
+    rows = rows.withColumn("_lane", F.when(is_open, F.pmod("_mark", F.lit(_LANES))).otherwise(F.col("_mark")))
+    rows = rows.withColumn("_first", is_open & (F.row_number().over(Window.partitionBy(*key, "_lane").orderBy(*(rest or key))) == 1))
+    rows = rows.withColumn("_lane", F.when(F.col("_first"), F.lit(_LANES)).otherwise(F.col("_mark")))
+    loaded = F.col("_first") & (F.row_number().over(Window.partitionBy(*key, "_lane").orderBy(*(rest or key))) == 1)
+    line = lambda why, n: F.struct(why.alias("reason"), n.cast("bigint").alias("copies"))
+    spare = line(F.lit("duplicate_key"), F.col("copies") - 1)
+    rows = rows.withColumn("_loaded", loaded)
+    lines = (
+        F.when(F.col("_loaded") & (F.col("copies") > 1), F.array(line(F.lit(LOADED), F.lit(1)), spare))
+        .when(F.col("_loaded"), F.array(line(F.lit(LOADED), F.lit(1))))
+        .otherwise(F.array(line(F.coalesce("_reason", F.lit("duplicate_key")), F.col("copies"))))
     )
-    return loaded, union_all([*rejected, spare]).select(*df.columns, "reason", "copies")
+    return rows.select(*df.columns, F.explode(lines).alias("_line")).select(*df.columns, "_line.reason", "_line.copies")
+
+
+def split_quarantine(df: DataFrame, key: list[str], parents: list[tuple[str, DataFrame, str]] = ()) -> tuple[DataFrame, DataFrame]:
+    """``judge_rows`` as two frames: the loadable rows, and the rejected ones with reason and copies."""
+    judged = judge_rows(df, key, parents)
+    return judged.where(F.col("reason") == LOADED).select(*df.columns), judged.where(F.col("reason") != LOADED)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.operators.joins import union_all
-from reelspark.operators.quality import check_row, duplicate_keys, orphans, range_violations, split_quarantine, without_any
+from reelspark.operators.quality import LOADED, check_row, duplicate_keys, judge_rows, orphans, range_violations, without_any
 from reelspark.sources import readers, writers
 
 
@@ -167,29 +167,72 @@ def warehouse_projection(df: DataFrame, target: dict[str, str] | None = None) ->
     return df.select(*out)
 
 
-def loadable(star: Star, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of a table as the warehouse takes them, and the rejected ones with reason and copies: a value that the
-    target type cannot hold (``does_not_fit``), a NULL key part, a reference without a parent, a repeated key."""
+def _judged(star: Star, name: str, parents: dict[str, DataFrame], stored: DataFrame | None = None) -> DataFrame:
+    """Rows of a table, typed as the warehouse takes them where they fit, with reason and copies. parents: the rows that references may name."""
     rows = warehouse_projection(getattr(star, name))
     types = {c: t for t, columns in WAREHOUSE_TYPES[name].items() for c in columns.split() if c in rows.columns}
     fits = reduce(lambda a, b: a & b, [F.col(c).isNull() | F.col(c).try_cast(t).isNotNull() for c, t in types.items()])
-    parents = [(key, getattr(star, parent).select(key), key) for child, key, parent in FOREIGN_KEYS if child == name]
-    good, rejected = split_quarantine(rows.where(fits), PRIMARY_KEYS[name], parents)
-    misfits = rows.where(~fits).groupBy(*rows.columns).agg(F.lit("does_not_fit").alias("reason"), F.count("*").alias("copies"))
-    return good.withColumns({c: F.col(c).cast(t) for c, t in types.items()}), misfits.unionByName(rejected)
+    keys = [(key, parents[parent].select(key), key) for child, key, parent in FOREIGN_KEYS if child == name]
+    return judge_rows(rows, PRIMARY_KEYS[name], keys, stored, fits)
+
+
+def _typed(judged: DataFrame, name: str) -> DataFrame:
+    """The loadable rows alone, in the warehouse's types."""
+    types = {c: t for t, columns in WAREHOUSE_TYPES[name].items() for c in columns.split() if c in judged.columns}
+    return judged.where(F.col("reason") == LOADED).drop("reason", "copies").withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+def _parents_of(name: str) -> list[str]:
+    return list(dict.fromkeys(parent for child, _, parent in FOREIGN_KEYS if child == name))
+
+
+def loadable(star: Star, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of a table as the warehouse takes them, and the rejected ones with reason and copies. A reference has to name a loadable
+    row of its parent."""
+    judged = _judged(star, name, {p: loadable(star, p)[0] for p in _parents_of(name)})
+    return _typed(judged, name), judged.where(F.col("reason") != LOADED)
+
+
+def _stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return next(iter(readers.read_present(spark, [path]).values()))
+    except FileNotFoundError:
+        return None
+
+
+def _outcome(counts: dict[str, int | None]) -> str:
+    bad = counts.get("rejected") or 0
+    return f"ok, {bad} rejected" if bad else "ok"
+
+
+def _counted(judged: DataFrame, counter: Observation) -> DataFrame:
+    rejected = F.col("reason") != LOADED
+    return judged.observe(counter, F.count_if(~rejected).alias("loaded"), F.sum(F.when(rejected, F.col("copies"))).alias("rejected"))
 
 
 def export_star(star: Star, root: str, tables: list[str] | None = None, mode: str = "overwrite") -> dict[str, str]:
     """Write the tables in load order as Parquet, typed as the warehouse has them, and rejected rows beside them in
-    ``_rejected``; a table that fails does not stop the others, unknown names are skipped. Returns the outcome per table."""
+    ``_rejected``; a table that fails does not stop the others, unknown names are skipped. Returns the outcome per table.
+
+    One job judges a table and writes its rows to ``_staged``, parted by outcome, while an observation counts them; the two parts are published from
+    there. References have to name rows that are stored under ``root``. Appending loads no key a second time: such rows are rejected as
+    ``already_loaded``, so an append that is run twice leaves the table as it was.
+    """
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            rows, rejected = loadable(star, name)
-            writers.write_table(rows, f"{root}/{name}", mode=mode, sort_by=layout_keys(name))
-            writers.write_table(rejected, f"{root}/_rejected/{name}", mode=mode)
-            bad = rows.sparkSession.read.parquet(f"{root}/_rejected/{name}").agg(F.sum("copies")).first()[0]
-            outcome[name] = f"ok, {bad} rejected" if bad else "ok"
+            spark = getattr(star, name).sparkSession
+            stored = _stored_table(spark, f"{root}/{name}") if mode == "append" else None
+            there = {p: _stored_table(spark, f"{root}/{p}") for p in _parents_of(name)}
+            parents = {p: getattr(star, p).limit(0) if df is None else df for p, df in there.items()}
+            counter = Observation(f"load of {name}")
+            judged = _counted(_judged(star, name, parents, stored), counter)
+            parted = judged.withColumn("outcome", F.when(F.col("reason") == LOADED, LOADED).otherwise("rejected"))
+            writers.write_table(parted, f"{root}/_staged/{name}", ["outcome"])
+            staged = spark.read.schema(parted.schema).parquet(f"{root}/_staged/{name}")
+            writers.write_table(_typed(staged.where(F.col("outcome") == LOADED).drop("outcome"), name), f"{root}/{name}", mode=mode, sort_by=layout_keys(name))
+            writers.write_table(staged.where(F.col("outcome") != LOADED).drop("outcome"), f"{root}/_rejected/{name}", mode=mode)
+            outcome[name] = _outcome(counter.get)
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
     return outcome
@@ -198,12 +241,17 @@ def export_star(star: Star, root: str, tables: list[str] | None = None, mode: st
 def export_star_jdbc(
     star: Star, url: str, tables: list[str] | None = None, properties: dict | None = None, mode: str = "overwrite"
 ) -> dict[str, str]:
-    """As ``export_star``, into a database; rejected rows are left out (``loadable`` lists them)."""
+    """As ``export_star``, into a database: rejected rows are left out and counted in the same job (``loadable`` lists them). Appending reads
+    the keys that the database holds."""
     outcome = {}
     for name in [t for t in TABLES if tables is None or t in tables]:
         try:
-            writers.write_jdbc(loadable(star, name)[0], url, name, properties, mode)
-            outcome[name] = "ok"
+            spark = getattr(star, name).sparkSession
+            stored = spark.read.jdbc(url, name, properties=properties or {}) if mode == "append" else None
+            counter = Observation(f"load of {name}")
+            judged = _judged(star, name, {p: loadable(star, p)[0] for p in _parents_of(name)}, stored)
+            writers.write_jdbc(_typed(_counted(judged, counter), name), url, name, properties, mode)
+            outcome[name] = _outcome(counter.get)
         except Exception as e:  # noqa: BLE001 - reported per table
             outcome[name] = f"failed: {e}"
     return outcome

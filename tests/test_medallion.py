@@ -4,6 +4,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reelspark.operators.quality import split_quarantine
@@ -270,8 +271,12 @@ def test_export(spark, star, tmp_path):
     assert outcome == {"dim_genre": "ok", "dim_person": "ok"}
     person = spark.read.parquet(str(tmp_path / "dim_person")).first()
     assert person.known_for_titles == "tt0114709,tt0000005"
-    assert star_jobs.export_star(star, str(tmp_path), ["dim_genre"], mode="append") == {"dim_genre": "ok"}
-    assert spark.read.parquet(str(tmp_path / "dim_genre")).count() == 2 * star.dim_genre.count()
+    # Appending the same rows loads no key twice.
+    n = star.dim_genre.count()
+    assert star_jobs.export_star(star, str(tmp_path), ["dim_genre"], mode="append") == {"dim_genre": f"ok, {n} rejected"}
+    assert spark.read.parquet(str(tmp_path / "dim_genre")).count() == n
+    again = spark.read.parquet(str(tmp_path / "_rejected/dim_genre"))
+    assert {r.reason for r in again.collect()} == {"already_loaded"} and again.count() == n
     people = star.dim_person
     broken = people.withColumn("birth_year", F.lit(3_000_000_000)).unionByName(people.withColumn("birth_year", F.col("birth_year").cast("bigint"))).unionByName(
         people.withColumns({"person_id": F.lit(None).cast("string"), "birth_year": F.lit(1).cast("bigint")})
@@ -285,6 +290,32 @@ def test_export(spark, star, tmp_path):
     assert failed["dim_genre"].startswith("failed")
 
 
+def test_references_have_to_name_loaded_rows(spark, star, tmp_path):
+    films = star.dim_movie.limit(2).withColumn("year", F.when(F.col("movie_id") % 2 == 0, F.lit(3_000_000_000)).otherwise(F.col("year").cast("bigint")))
+    films = films.withColumn("movie_id", F.row_number().over(Window.orderBy("movie_id")).cast("bigint"))
+    films = films.withColumn("year", F.when(F.col("movie_id") == 1, F.lit(3_000_000_000)).otherwise(F.lit(1999)))
+    facts = star.fact_movie_metrics.limit(2).withColumn("movie_id", F.row_number().over(Window.orderBy("metric_id")).cast("bigint"))
+    bad = star.replace(dim_movie=films, fact_movie_metrics=facts)
+    outcome = star_jobs.export_star(bad, str(tmp_path), ["dim_time", "dim_movie", "fact_movie_metrics"])
+    assert outcome == {"dim_time": "ok", "dim_movie": "ok, 1 rejected", "fact_movie_metrics": "ok, 1 rejected"}
+    assert [r.movie_id for r in spark.read.parquet(f"{tmp_path}/fact_movie_metrics").collect()] == [2]
+    assert [(r.movie_id, r.reason) for r in spark.read.parquet(f"{tmp_path}/_rejected/fact_movie_metrics").collect()] == [(1, "orphan")]
+    assert [r.movie_id for r in star_jobs.loadable(bad, "fact_movie_metrics")[0].collect()] == [2]
+
+
+def test_the_load_runs_its_source_once(spark, star, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    genres_read = spark.createDataFrame(star.dim_genre.rdd.mapPartitions(counted), star.dim_genre.schema)
+    assert star_jobs.export_star(star.replace(dim_genre=genres_read), str(tmp_path), ["dim_genre"]) == {"dim_genre": "ok"}
+    assert read.value == star.dim_genre.count()
+
+
 def test_projection_for_the_warehouse(spark):
     df = spark.createDataFrame(
         [(float("nan"), 3e9, [1, 2], "d"), (float("inf"), 7.0, None, "d")], "a double, b double, c array<int>, created_date string"

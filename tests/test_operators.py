@@ -14,7 +14,7 @@ from reelspark.operators.joins import left_join_sparse
 from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.operators.pairs import named_pair_counts, vocabulary_pair_counts
 from reelspark.operators.profile import completeness_profile
-from reelspark.operators.quality import split_quarantine
+from reelspark.operators.quality import judge_rows, split_quarantine
 from reelspark.operators.quantiles import exact_percentiles
 from reelspark.operators.sampling import sample_exactly
 
@@ -95,6 +95,27 @@ def test_lazy_serial_key_runs_no_job(spark, partitions, ranges):
     assert lazy_serial_key(df.limit(0), [F.col("k"), F.col("i")], "id").count() == 0
 
 
+def test_judge_rows_equals_plain_python(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3, 4]), rng.choice([None, 10, 20, 30]), rng.choice([None, "a", "b", *map(str, range(40))])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k int, p int, v string").repartition(5)
+    parents = spark.createDataFrame([(10,), (20,), (10,), (None,)], "p int")
+    stored = spark.createDataFrame([(4,), (4,), (None,)], "k int")
+    got = judge_rows(df, ["k"], [("p", parents, "p")], stored, ~F.col("v").eqNullSafe("7"))
+    want, free = Counter(), {}
+    for k, p, v in rows:
+        why = "does_not_fit" if v == "7" else "null_key" if k is None else "orphan" if p not in (10, 20) else "already_loaded" if k == 4 else None
+        want[k, p, v, why or "duplicate_key"] += 1
+        if why is None:
+            free.setdefault(k, []).append((p is None, p or 0, v is None, v or "", (k, p, v)))
+    for options in free.values():
+        row = min(options)[-1]
+        want[(*row, "loaded")] += 1
+        want[(*row, "duplicate_key")] -= 1
+    assert {tuple(r)[:4]: r.copies for r in got.collect()} == {k: n for k, n in want.items() if n}
+    assert got.where("reason = 'loaded'").count() == 3
+
+
 def test_serial_key_of_nothing(spark):
     assert serial_key(spark.createDataFrame([], "i int"), [F.asc("i")], "id").count() == 0
 
