@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,16 +15,21 @@ _YEAR = r"\b(19\d{2}|20\d{2})\b"
 _JSON_LD = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 _H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
 _SCORE_BOARD = r"(?is)<score-board\b[^>]*>"
-_LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)</li>"
-_INFO_ITEM = r'(?is)<(\w+)\b[^>]*(?:data-qa="movie-info-item"|class="(?:[^"]*\s)?info-item(?:\s[^"]*)?")[^>]*>(.*?)</\1>'
-_LABEL = (
-    r'(?is)<(\w+)\b[^>]*(?:data-qa="movie-info-item-label"|class="(?:[^"]*\s)?info-item-label(?:\s[^"]*)?")[^>]*>(.*?)</\1>'
-)
-_VALUE = (
-    r'(?is)<(\w+)\b[^>]*(?:data-qa="movie-info-item-value"|class="(?:[^"]*\s)?info-item-value(?:\s[^"]*)?")[^>]*>(.*?)</\1>'
-)
-_LABEL_TAG = r"(?is)<(dt|b)\b[^>]*>(.*?)</\1>"
-_VALUE_TAG = r"(?is)<(dd|span|time)\b[^>]*>(.*?)</\1>"
+
+
+def _opens(tags: str, mark: str) -> str:
+    """Pattern of an opening tag of one of the tags, or of any tag with the data-qa mark or its class."""
+    marked = rf'data-qa="movie-{mark}"|class="(?:[^"]*\s)?{mark}(?:\s[^"]*)?"'
+    return rf"(?is)^<(?:(?:{tags})(?=[\s/>])|\w[^>]*\s(?:{marked}))"
+
+
+_ITEM = _opens("li", "info-item")
+_LABEL = _opens("dt|b", "info-item-label")
+_VALUE = _opens("dd|span|time", "info-item-value")
+# Elements that have no closing tag.
+_VOID = "area base br col embed hr img input link meta source track wbr".split()
+_TOKENS = r"(?s)<[A-Za-z/!?][^>]*>|[^<]+|<"
+_NO_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 
 # Directors come as one object or as a list, so the field is kept as JSON text first.
 _RECORD_SCHEMA = (
@@ -73,16 +80,51 @@ def _director_names(director_json: Column) -> Column:
     return F.array_join(F.filter(people, lambda n: n.isNotNull() & (n != "")), ", ")
 
 
-def _label_of(item: Column) -> Column:
-    marked = F.regexp_extract_all(item, F.lit(_LABEL), F.lit(2))
-    tagged = F.regexp_extract_all(item, F.lit(_LABEL_TAG), F.lit(2))
-    return F.lower(plain_text(F.array_join(F.array_union(marked, tagged), "")))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def elements(markup: Column, opening: str) -> Column:
+    """Inner markup of every element whose opening tag matches, nested ones too, in page order.
+
+    The markup is cut into tags and text, and folded once. Every open element that was asked for counts the elements of its own name inside, and ends
+    at its own closing tag; one that is never closed ends with the markup. Self-closed and void elements are empty. NULL reads as
+    no markup."""
+
+    def token(t: Column, i: Column) -> Column:
+        name = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][\w:-]*)", 1))
+        empty = (name == "") | name.isin(*_VOID) | t.endswith("/>")
+        kind = F.when((name != "") & t.startswith("</"), -1).when(empty, 0).otherwise(1)
+        return F.struct(i.alias("at"), name.alias("name"), kind.alias("kind"), (t.rlike(opening) & (name != "")).alias("wanted"))
+
+    def fold(state: Column, t: Column) -> Column:
+        inner = lambda e: F.struct(e["name"].alias("name"), (e["depth"] + F.when(e["name"] == t["name"], t["kind"]).otherwise(0)).alias("depth"), e["at"].alias("at"))
+        held = F.transform(state["open"], inner)
+        span = lambda at: F.struct(at.alias("first"), t["at"].alias("last"))
+        new = F.array(F.struct(t["name"].alias("name"), F.lit(1).alias("depth"), t["at"].alias("at")))
+        none = F.slice(new, 1, 0)
+        closed = F.transform(F.filter(held, lambda e: e["depth"] == 0), lambda e: span(e["at"]))
+        return (
+            F.when((t["kind"] == 1), F.struct(F.concat(held, F.when(t["wanted"], new).otherwise(none)).alias("open"), state["done"].alias("done")))
+            .when(t["kind"] == -1, F.struct(F.filter(held, lambda e: e["depth"] > 0).alias("open"), F.concat(state["done"], closed).alias("done")))
+            .when(t["wanted"], F.struct(state["open"].alias("open"), F.concat(state["done"], F.array(span(t["at"]))).alias("done")))
+            .otherwise(state)
+        )
+
+    def cut(tokens: Column) -> Column:
+        start = F.struct(F.array().cast("array<struct<name: string, depth: int, at: int>>").alias("open"), F.array().cast("array<struct<first: int, last: int>>").alias("done"))
+        folded = F.aggregate(F.transform(tokens, token), start, fold)
+        spans = _let(folded, lambda s: F.concat(s["done"], F.transform(s["open"], lambda e: F.struct(e["at"].alias("first"), F.size(tokens).alias("last")))))
+        return F.transform(F.array_sort(spans), lambda e: F.array_join(F.slice(tokens, e["first"] + 2, F.greatest(e["last"] - e["first"] - 1, F.lit(0))), ""))
+
+    plain = F.regexp_replace(F.coalesce(markup, F.lit("")), _NO_MARKUP, "")
+    return _let(F.regexp_extract_all(plain, F.lit(_TOKENS), F.lit(0)), cut)
 
 
-def _value_of(item: Column) -> Column:
-    marked = F.regexp_extract_all(item, F.lit(_VALUE), F.lit(2))
-    tagged = F.regexp_extract_all(item, F.lit(_VALUE_TAG), F.lit(2))
-    return plain_text(F.array_join(F.array_union(marked, tagged), ""))
+def _text_of(item: Column, opening: str) -> Column:
+    """Text of the elements of an item, put together."""
+    return plain_text(F.array_join(elements(item, opening), ""))
 
 
 def _first_value(items: Column, *labels: str) -> Column:
@@ -111,11 +153,8 @@ def extract_movies(
         plain_text(F.regexp_extract("html", _H1, 1)).alias("heading"),
         F.regexp_extract("html", _SCORE_BOARD, 0).alias("board"),
         F.transform(
-            F.concat(
-                F.regexp_extract_all("html", F.lit(_INFO_ITEM), F.lit(2)),
-                F.regexp_extract_all("html", F.lit(_LIST_ITEM), F.lit(1)),
-            ),
-            lambda item: F.struct(_label_of(item).alias("label"), _value_of(item).alias("value")),
+            elements(F.when(F.col("html").rlike(_ITEM.replace("^<", "<", 1)), F.col("html")), _ITEM),
+            lambda item: F.struct(F.lower(_text_of(item, _LABEL)).alias("label"), _text_of(item, _VALUE).alias("value")),
         ).alias("items"),
     )
     ld, items = F.col("ld"), F.col("items")

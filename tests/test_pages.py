@@ -1,8 +1,11 @@
 """Page extraction, branch by branch."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
-from reelspark.sources.pages import discover_links, extract_movies
+from reelspark.sources.pages import _ITEM, discover_links, elements, extract_movies
 from reelspark.sources.readers import read_pages
 
 JSON_LD = """<html><script type="application/ld+json">{"name": "Dune", "director": [{"name": "A B"}, {"x": 1}, {"name": "C D"}],
@@ -60,3 +63,38 @@ def test_saved_pages(spark, tmp_path):
     (tmp_path / "m" / "dune_1984.html").write_text(JSON_LD)
     r = extract_movies(read_pages(spark, str(tmp_path / "m")), r"/m/([^/?#.]+)").first()
     assert (r.slug, r.title, r.release_year) == ("dune_1984", "Dune", 1984)
+
+
+def test_items_end_at_their_own_closing_tags(spark):
+    probe = '<div class="info-item"><div class="info-item-label">Director</div><div class="info-item-value">Jane X</div></div>'
+    nested = '<ul><li><b>Box Office</b><ul><li>x</li></ul><span>$<span>5</span>M</span></li><li>A<br><b>Rating</b> <span class="q">PG</span></li></ul>'
+    repeated = '<li><b>Director</b><span>Al</span><b>Director</b><span>Al</span></li>'
+    hidden = '<!-- <li><b>Rating</b><span>X</span></li> --><script>"<li><b>Rating</b><span>Y</span></li>"</script><li><b>Rating</b><span>R'
+    df = spark.createDataFrame([(f"https://x/m/{i}", h) for i, h in enumerate((probe, nested, repeated, hidden, None))], "url string, html string")
+    got = {r.slug: r for r in extract_movies(df).collect()}
+    assert got["0"].director == "Jane X" and (got["1"].box_office, got["1"].mpaa_rating) == ("$5M5", "PG")
+    assert got["2"].director == "AlAl" and got["3"].mpaa_rating == "R" and got["4"].title == "4"
+
+
+def test_elements_of_random_markup(spark):
+    rng = random.Random(3)
+    tags = ["div", "li", "b", "span", 'div class="x"', 'p data-qa="movie-info-item"', 'div class="a info-item z"']
+    wanted = {"li", 'p data-qa="movie-info-item"', 'div class="a info-item z"'}
+
+    def tree(depth):
+        """Markup, and the inner markup of the wanted elements in it, in page order."""
+        text, found = "", []
+        for _ in range(rng.randint(0, 4)):
+            if depth == 0 or rng.random() < 0.4:
+                text += rng.choice(["t", "a b", "<br>", "<img src=x/>", "&lt;", "5 < 6 "])
+                continue
+            tag = rng.choice(tags)
+            inner, below = tree(depth - 1)
+            found += ([inner] if tag in wanted else []) + below
+            text += f"<{tag}>{inner}</{tag.split()[0].upper()}>"
+        return text, found
+
+    cases = [tree(5) for _ in range(300)]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, html string")
+    got = {r.i: r.found for r in df.select("i", elements(F.col("html"), _ITEM).alias("found")).collect()}
+    assert all(got[i] == found for i, (_, found) in enumerate(cases)) and any(len(f) > 5 for _, f in cases)
