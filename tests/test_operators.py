@@ -15,7 +15,7 @@ from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.operators.pairs import named_pair_counts, vocabulary_pair_counts
 from reelspark.operators.profile import completeness_profile
 from reelspark.operators.quality import judge_rows, split_quarantine
-from reelspark.operators.quantiles import exact_percentiles
+from reelspark.operators.quantiles import _place_in_slice, _slice_of, exact_percentiles
 from reelspark.operators.sampling import sample_exactly
 
 
@@ -52,6 +52,21 @@ def test_percentiles_match_interpolation(spark):
                 assert r[name] is None
 
 
+def test_values_with_a_large_offset_are_parted(spark):
+    rng = np.random.default_rng(11)
+    values = np.unique(np.r_[1_700_000_000 + rng.random(20_000) * 200_000, [5e-324, -5e-324, 1e-310, -1.7e308, 1.7e308]])
+    df = spark.createDataFrame([(float(v),) for v in np.r_[values, -values]], "v double")
+    cells = df.select("v", _slice_of(F.col("v")).alias("s"), _place_in_slice(F.col("v")).alias("p")).orderBy("v").collect()
+    codes = [(r.s, r.p) for r in cells]
+    assert codes == sorted(codes) and len({r.s for r in cells}) < 20 and len(set(codes)) > 0.9 * len(codes)
+    # The epoch values share one slice and spread over thousands of cells of the first round.
+    epochs = [(r.s, r.p) for r in cells if 1.7e9 <= r.v < 1.8e9]
+    assert len({s for s, _ in epochs}) <= 2 and len(set(epochs)) > 5000
+    got = exact_percentiles(df, [], "v", {"a": 0.1, "b": 0.5, "c": 0.77}).first()
+    both = np.r_[values, -values]
+    assert [got.a, got.b, got.c] == pytest.approx([np.quantile(both, q) for q in (0.1, 0.5, 0.77)], rel=1e-12)
+
+
 def test_percentiles_keep_nan_and_infinity(spark):
     nan, inf = float("nan"), float("inf")
     rows = [("n", 1.0), ("n", nan), ("n", 2.0), ("i", -inf), ("i", 5.0), ("i", inf), ("h", 7.0), ("h", 9.0), ("h", None)] + [("h", 7.0)] * 500
