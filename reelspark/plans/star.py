@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -341,19 +341,59 @@ def dq_referential(star: Star, keys: list[tuple[str, str, str]] | None = None) -
     )
 
 
+def _range_rules() -> dict[str, Column]:
+    rules = {f"{c} 0..100": F.col(c).between(0, 100) for c in ["tomatometer_score", "audience_score"]}
+    return rules | {f"{c} >= 0": F.col(c) >= 0 for c in ["budget", "revenue"]}
+
+
 def dq_range(star: Star) -> DataFrame:
     """Scores outside 0..100 and negative money, all from one pass over the fact."""
-    rules = {f"{c} 0..100": F.col(c).between(0, 100) for c in ["tomatometer_score", "audience_score"]}
-    rules |= {f"{c} >= 0": F.col(c) >= 0 for c in ["budget", "revenue"]}
-    found = range_violations(star.fact_movie_metrics, rules)
+    found = range_violations(star.fact_movie_metrics, _range_rules())
     return found.select(F.lit("fact_movie_metrics").alias("table_name"), F.col("rule").alias("check_name"), "violations")
 
 
+SOURCE_IDS = ["imdb_id", "tmdb_id", "ml_id", "rt_slug"]
+
+
 def dq_has_id(star: Star) -> DataFrame:
     """Films without any source id."""
-    return check_row("dim_movie", "has_source_id", without_any(star.dim_movie, ["imdb_id", "tmdb_id", "ml_id", "rt_slug"]))
+    return check_row("dim_movie", "has_source_id", without_any(star.dim_movie, SOURCE_IDS))
+
+
+def _notes(name: str) -> list[Column]:
+    """What the row of a table says to the checks: (table_name, check_name, key, note), NULL where it says nothing.
+
+    A row has a primary key, is the parent or the child of a reference, or breaks a rule by itself."""
+
+    def note(table: str, check: str, what: str, key: Column | None = None) -> Column:
+        named = {"table_name": F.lit(table), "check_name": F.lit(check), "key": F.lit(None).cast("string") if key is None else key, "note": F.lit(what)}
+        return F.struct(*(c.alias(k) for k, c in named.items()))
+
+    said = [note(name, "unique_key", "key", F.to_json(F.struct(*PRIMARY_KEYS[name])))]
+    for child, column, parent in FOREIGN_KEYS:
+        value, check = F.col(column).cast("string"), f"{column} in {parent}"
+        if name == child:
+            said.append(F.when(value.isNull(), note(child, check, "broken")).otherwise(note(child, check, "child", value)))
+        if name == parent:
+            said.append(F.when(value.isNotNull(), note(child, check, "parent", value)))
+    rules = _range_rules() if name == "fact_movie_metrics" else {}
+    rules |= {"has_source_id": F.coalesce(*(F.col(c).cast("string") for c in SOURCE_IDS)).isNotNull()} if name == "dim_movie" else {}
+    return [*said, *(F.when(~rule, note(name, check, "broken")) for check, rule in rules.items())]
 
 
 def constraint_report(star: Star) -> DataFrame:
-    """All checks as one table (table_name, check_name, violations)."""
-    return union_all([dq_uniqueness(star), dq_referential(star), dq_range(star), dq_has_id(star)])
+    """All checks as one table (table_name, check_name, violations), from one scan of each table and one shuffle.
+
+    Every row notes its key, its references and the rules it breaks. Notes are counted by check and key, before and after they are shuffled:
+    a key noted twice is a duplicate, and the children of a key without a parent are orphans."""
+    tables = star.tables()
+    notes = union_all([df.select(F.explode(F.filter(F.array(*_notes(name)), lambda n: n.isNotNull())).alias("n")).select("n.*") for name, df in tables.items()])
+    times = {n: F.count_if(F.col("note") == n).alias(f"_{n}") for n in ("key", "child", "parent", "broken")}
+    counts = notes.groupBy("table_name", "check_name", "key").agg(*times.values())
+    violations = (F.col("_key") > 1).cast("bigint") + F.when(F.col("_parent") == 0, F.col("_child")).otherwise(0) + F.col("_broken")
+    named = [(name, "unique_key") for name in tables] + [(c, f"{k} in {p}") for c, k, p in FOREIGN_KEYS]
+    named += [("fact_movie_metrics", r) for r in _range_rules()] + [("dim_movie", "has_source_id")]
+    lines = F.array(*(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("check_name"), F.lit(0).cast("bigint").alias("violations")) for t, c in named))
+    none = counts.sparkSession.range(1).select(F.inline(lines))
+    found = counts.select("table_name", "check_name", violations.alias("violations")).union(none)
+    return found.groupBy("table_name", "check_name").agg(F.sum("violations").alias("violations"))

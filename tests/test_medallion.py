@@ -266,6 +266,26 @@ def test_checks_on_a_sound_star(star):
     assert counts["_orphan_facts"] == 0 and counts["dim_time"] == 29_585
 
 
+def test_checks_are_fused_and_equal_the_single_ones(spark, star, tmp_path):
+    for name, df in star.tables().items():
+        extra = df.limit(1)
+        if name == "fact_movie_metrics":
+            extra = extra.withColumns({"budget": F.lit(-5).cast(df.schema["budget"].dataType), "movie_id": F.lit(None).cast("bigint")})
+        if name == "bridge_movie_cast":
+            extra = extra.withColumn("person_id", F.lit("nobody"))
+        if name == "dim_movie":
+            extra = extra.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in star_jobs.SOURCE_IDS})
+        df.unionByName(extra).write.parquet(f"{tmp_path}/{name}")
+    bad = star_jobs.read_star(spark, str(tmp_path))
+    report = star_jobs.constraint_report(bad)
+    single = [star_jobs.dq_uniqueness(bad), star_jobs.dq_referential(bad), star_jobs.dq_range(bad), star_jobs.dq_has_id(bad)]
+    want = {(r.table_name, r.check_name): r.violations for df in single for r in df.collect()}
+    assert {(r.table_name, r.check_name): r.violations for r in report.collect()} == want
+    assert sum(n > 0 for n in want.values()) >= 9
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 7
+
+
 def test_export(spark, star, tmp_path):
     outcome = star_jobs.export_star(star, str(tmp_path), ["dim_person", "no_such_table", "dim_genre"])
     assert outcome == {"dim_genre": "ok", "dim_person": "ok"}
