@@ -23,7 +23,7 @@ def vocabulary_pair_counts(memberships: DataFrame, group: str, item: str) -> Dat
     return pairs.groupBy("item1", "item2").agg(F.sum("weight").alias("count"))
 
 
-def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256) -> DataFrame:
+def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256, block: int = 4096) -> DataFrame:
     """Pairs of names with at least ``min_count`` shared credits.
 
     ``members`` has one row per (movie_id, person_id) with ``name`` and the number of credits ``n``. A pair of
@@ -33,7 +33,8 @@ def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256) -> D
     pairing everybody would be quadratic, so there a pair is only looked at when it can still reach
     ``min_count``: because it already met in a small movie, or because both names keep the movie after
     each name's largest movies are set aside, as far as those alone could not add up to ``min_count``.
-    A pair that reaches the count shares at least one movie that neither of them set aside.
+    A pair that reaches the count shares at least one movie that neither of them set aside. Such pairs are scored from the crowded movies of
+    the rarer name, at most ``block`` of them in one place.
     """
     # max(n) keeps this aggregate on the same columns as the pairing, so both read one shuffle of the credits.
     sizes = members.groupBy("movie_id").agg(F.count("*").alias("people"), F.max("n").alias("most"))
@@ -46,17 +47,10 @@ def named_pair_counts(members: DataFrame, min_count: int, crowd: int = 256) -> D
     candidates = (
         met.unionByName(hopeful).groupBy("low", "high").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"))
     )
-    one = _one(big).withColumnRenamed("name1", "low")
-    other = _other(big).withColumnRenamed("name2", "high")
-    # Names without a hopeful pair in crowded movies have nothing to look up there.
-    one = one.join(candidates.select("low").distinct(), "low", "left_semi")
-    # Without crowded movies both left joins fall away at run time.
-    found = candidates.join(one, "low", "left").join(other, ["movie_id", "high"], "left")
-    together = F.when(F.col("id1") < F.col("id2"), F.col("n1") * F.col("n2"))
-    reversed_ = F.when((F.col("id1") > F.col("id2")) & (F.col("low") < F.col("high")), F.col("n1") * F.col("n2"))
-    totals = found.groupBy("low", "high").agg(
-        (F.max("forth") + F.coalesce(F.sum(together), F.lit(0))).alias("forth"),
-        (F.max("back") + F.coalesce(F.sum(reversed_), F.lit(0))).alias("back"),
+    totals = (
+        candidates.unionByName(_shared_scores(candidates, big, block))
+        .groupBy("low", "high")
+        .agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"))
     )
     directions = F.explode(
         F.array(
@@ -93,6 +87,44 @@ def _scored(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _shared_scores(candidates: DataFrame, big: DataFrame, block: int) -> DataFrame:
+    """Scores of the candidate pairs in crowded movies.
+
+    The name with fewer credits there leads: its movies are looked up at the other name, so a pair costs the smaller of its two numbers of
+    movies. The credits of a leading name are dealt out in blocks of about ``block`` by movie, and its pairs are sent to each of its blocks; light
+    names have one block, so only heavy ones are copied.
+    """
+    credits = big.groupBy("name").agg(F.count("*").alias("credits"))
+    known = candidates.select("low", "high").join(credits.select(F.col("name").alias("low"), F.col("credits").alias("c1")), "low")
+    known = known.join(credits.select(F.col("name").alias("high"), F.col("credits").alias("c2")), "high")
+    leads = F.col("c1") <= F.col("c2")
+    blocks = lambda c: F.ceil(c / block).cast("int")
+    pairs = known.select(
+        "low",
+        "high",
+        F.when(leads, F.col("low")).otherwise(F.col("high")).alias("leader"),
+        F.when(leads, F.col("high")).otherwise(F.col("low")).alias("partner"),
+        F.explode(F.sequence(F.lit(0), blocks(F.least("c1", "c2")) - 1)).alias("block"),
+    )
+    rows = big.join(credits, "name")
+    led = rows.select(
+        F.col("name").alias("leader"),
+        F.pmod(F.xxhash64("movie_id"), blocks(F.col("credits"))).cast("int").alias("block"),
+        "movie_id",
+        F.col("person_id").alias("id1"),
+        F.col("n").alias("n1"),
+    )
+    others = big.select("movie_id", F.col("name").alias("partner"), F.col("person_id").alias("id2"), F.col("n").alias("n2"))
+    found = pairs.join(led, ["leader", "block"]).join(others, ["movie_id", "partner"])
+    low_id = F.when(F.col("leader") == F.col("low"), F.col("id1")).otherwise(F.col("id2"))
+    high_id = F.when(F.col("leader") == F.col("low"), F.col("id2")).otherwise(F.col("id1"))
+    score = F.col("n1") * F.col("n2")
+    return found.groupBy("low", "high").agg(
+        F.coalesce(F.sum(F.when(low_id < high_id, score)), F.lit(0)).alias("forth"),
+        F.coalesce(F.sum(F.when((low_id > high_id) & (F.col("low") < F.col("high")), score)), F.lit(0)).alias("back"),
+    )
+
+
 def _reachable_pairs(big: DataFrame, min_count: int) -> DataFrame:
     """Name pairs of crowded movies that could reach ``min_count`` in crowded movies alone."""
     credits = big.groupBy("movie_id", "name").agg(F.sum("n").alias("n"), F.max("people").alias("people"))

@@ -12,7 +12,7 @@ from reelspark.operators import cube
 from reelspark.operators.dedupe import first_per_key, top_n_per_group
 from reelspark.operators.joins import left_join_sparse
 from reelspark.operators.numbering import lazy_serial_key, serial_key
-from reelspark.operators.pairs import named_pair_counts, vocabulary_pair_counts
+from reelspark.operators.pairs import _shared_scores, named_pair_counts, vocabulary_pair_counts
 from reelspark.operators.profile import completeness_profile
 from reelspark.operators.quality import judge_rows, split_quarantine
 from reelspark.operators.quantiles import _place_in_slice, _slice_of, exact_percentiles
@@ -181,6 +181,23 @@ def test_named_pairs_match_brute_force(spark, seed, crowd, min_count):
     df = spark.createDataFrame(rows, "movie_id int, person_id int, name string, n bigint")
     got = {(r.name1, r.name2): r["count"] for r in named_pair_counts(df, min_count, crowd).collect()}
     assert got == {k: v for k, v in want.items() if v >= min_count}
+    if crowd < 256:  # the same with names that span several blocks
+        got = {(r.name1, r.name2): r["count"] for r in named_pair_counts(df, min_count, crowd, block=2).collect()}
+        assert got == {k: v for k, v in want.items() if v >= min_count}
+
+
+def test_a_name_in_a_third_of_the_movies_leads_no_pair(spark):
+    """The star is in all 900 movies, its 40 partners in 3 each: pairs cost the partners' movies, and no join key holds the star's."""
+    rows = [(m, 0, "star", 1) for m in range(900)] + [(m, 1 + p, f"p{p}", 1) for p in range(40) for m in range(p, p + 3)]
+    big = spark.createDataFrame(rows, "movie_id int, person_id int, name string, n bigint").withColumn("people", F.lit(1))
+    candidates = spark.createDataFrame([(min("star", f"p{p}"), max("star", f"p{p}"), 0, 0) for p in range(40)], "low string, high string, forth bigint, back bigint")
+    assert {(r.low, r.high, r.forth, r.back) for r in _shared_scores(candidates, big, 4096).collect()} == {(f"p{p}", "star", 0, 3) for p in range(40)}
+    found = []
+    for block in (10, 4096):  # two stars: the leader is dealt out
+        twins = spark.createDataFrame([(m, k, f"s{k}", 1) for m in range(900) for k in range(2)], "movie_id int, person_id int, name string, n bigint")
+        pairs = spark.createDataFrame([("s0", "s1", 0, 0)], "low string, high string, forth bigint, back bigint")
+        found.append(_shared_scores(pairs, twins, block).collect())
+    assert found[0] == found[1] and found[0][0].forth == 900
 
 
 def test_one_crowded_movie_forms_no_pairs(spark):
