@@ -53,19 +53,19 @@ def read_rotten_tomatoes(
 
 
 def ingest_all(spark: SparkSession, raw_root: str, lake_root: str, date: str | None = None) -> None:
-    """Land the newest (or the dated) delivery of every source in ``<lake_root>/bronze``."""
+    """Land the newest (or the dated) delivery of every source in ``<lake_root>/bronze``, partitioned by ingest day: a rerun replaces its
+    own day, earlier days stay."""
 
     def folder(source: str) -> str:
         return readers.input_folder(spark, f"{raw_root}/{source}", date)
 
     for name, df in read_movielens(spark, folder("movielens"), date).items():
-        writers.write_table(df, f"{lake_root}/bronze/movielens/{name}")
+        writers.write_days(df, f"{lake_root}/bronze/movielens/{name}", "ingest_date")
     for name, df in read_imdb(spark, folder("imdb"), date).items():
-        writers.write_table(df, f"{lake_root}/bronze/imdb/{name}")
-    writers.write_table(read_tmdb(spark, folder("tmdb"), date), f"{lake_root}/bronze/tmdb/movies")
-    writers.write_table(
-        read_rotten_tomatoes(spark, folder("rotten_tomatoes"), date), f"{lake_root}/bronze/rotten_tomatoes/movies"
-    )
+        writers.write_days(df, f"{lake_root}/bronze/imdb/{name}", "ingest_date")
+    writers.write_days(read_tmdb(spark, folder("tmdb"), date), f"{lake_root}/bronze/tmdb/movies", "ingest_date")
+    rt = read_rotten_tomatoes(spark, folder("rotten_tomatoes"), date)
+    writers.write_days(rt, f"{lake_root}/bronze/rotten_tomatoes/movies", "ingest_date")
 
 
 def enrich_box_office(movies: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:

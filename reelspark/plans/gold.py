@@ -230,5 +230,7 @@ def publish_all(spark: SparkSession, lake_root: str, date: str | None = None) ->
         "fact_movie_metrics",
         build_fact_metrics(spine, silver("movielens/ratings_agg"), silver("imdb/title_ratings"), rt, tmdb, date),
     )
+    # The fact holds the newest snapshot; its days are kept beside it.
+    writers.write_days(gold("fact_movie_metrics"), f"{lake_root}/gold/_snapshots/fact_movie_metrics", "time_id")
     publish("bridge_movie_cast", build_bridge_cast(spine, silver("imdb/title_principals"), gold("dim_person")))
     publish("bridge_movie_genres", build_bridge_genres(spine, by_key, gold("dim_genre")))

@@ -9,7 +9,7 @@ from reelspark.functions.genres import genre_names_from_ids
 from reelspark.functions.money import parse_box_office, stable_avg
 from reelspark.functions.text import normalize_title, split_or_null, strip_year_suffix, year_suffix
 from reelspark.sources import writers
-from reelspark.sources.readers import read_table, run_date
+from reelspark.sources.readers import read_day, run_date
 
 # Fixed values.
 POSTER_BASE = "https://image.tmdb.org/t/p/w500"
@@ -177,8 +177,8 @@ JOBS = {
 }
 
 
-def refine_all(spark: SparkSession, lake_root: str, date: str | None = None) -> None:
-    """Refresh every silver table from bronze."""
+def refine_all(spark: SparkSession, lake_root: str, date: str | None = None, ingest_day: str | None = None) -> None:
+    """Refresh every silver table from the newest (or the given) ingest day of bronze."""
     for name, (source, job) in JOBS.items():
-        df = job(read_table(spark, f"{lake_root}/bronze/{source}"), date)
+        df = job(read_day(spark, f"{lake_root}/bronze/{source}", "ingest_date", ingest_day), date)
         writers.write_table(df, f"{lake_root}/silver/{name}")

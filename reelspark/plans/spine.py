@@ -18,7 +18,7 @@ from reelspark.operators.joins import left_join_sparse, union_all
 from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.session import cut_lineage
 from reelspark.sources import writers
-from reelspark.sources.readers import read_table, run_date
+from reelspark.sources.readers import read_day, run_date
 
 SPINE_IDS = {"ml_id": "int", "imdb_id": "string", "tmdb_id": "int", "rt_slug": "string", "rt_match_method": "string"}
 EXACT, FUZZY, UNMATCHED = "title_year_exact", "title_year_fuzzy", "unmatched"
@@ -155,8 +155,8 @@ def build_entity_spine(
     return number(entities, spine_order(), "movie_id").withColumn("created_date", run_date(date))
 
 
-def resolve_all(spark: SparkSession, lake_root: str, date: str | None = None, **options) -> None:
-    """Refresh the silver entity spine from bronze."""
+def resolve_all(spark: SparkSession, lake_root: str, date: str | None = None, ingest_day: str | None = None, **options) -> None:
+    """Refresh the silver entity spine from the newest (or the given) ingest day of bronze."""
     tables = ["movielens/links", "movielens/movies", "tmdb/movies", "imdb/title_basics", "rotten_tomatoes/movies"]
-    inputs = SpineInputs(*[read_table(spark, f"{lake_root}/bronze/{t}") for t in tables])
+    inputs = SpineInputs(*[read_day(spark, f"{lake_root}/bronze/{t}", "ingest_date", ingest_day) for t in tables])
     writers.write_table(build_entity_spine(inputs, date, **options), f"{lake_root}/silver/entity_spine")

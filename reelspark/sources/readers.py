@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -43,22 +44,35 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.input_file_name().alias("url"), F.col("value").alias("html"))
 
 
+def read_day(spark: SparkSession, path: str, day: str, date: str | None = None) -> DataFrame:
+    """Rows of one day of a table that is partitioned by day: the given one, else the newest.
+
+    The newest day is a subquery that Spark runs before it lists what to read, so other days' files are pruned."""
+    df = spark.read.parquet(path)
+    if date is not None:
+        return df.where(F.col(day) == F.lit(date).cast(df.schema[day].dataType))
+    return df.where(F.col(day) == spark.read.parquet(path).agg(F.max(day)).scalar())
+
+
 def input_folder(spark: SparkSession, base: str, date: str | None = None) -> str:
-    """Folder of one delivery: the given date, else the newest child folder by name, ``_*`` left aside.
+    """Folder of one delivery: the given date, else the newest child folder by name that holds files, ``_*`` left aside.
 
-    Lists the base folder only (one metadata call), through Spark's own file system layer so that object stores work.
+    Paths of files come from Spark's own listing, so object stores work; no file is opened.
     """
     if date:
         return f"{base.rstrip('/')}/{date}"
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    children = fs.listStatus(root) if fs.exists(root) else []
-    names = [c.getPath().getName() for c in children if c.isDirectory()]
-    names = [n for n in names if not n.startswith("_")]
-    if not names:
+    plain = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", base).rstrip("/")
+    inside = F.substring_index("path", f"{plain}/", -1)
+    try:
+        files = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/*/*").select(F.substring_index(inside, "/", 1).alias("name"))
+        newest = files.where(~F.col("name").startswith("_")).agg(F.max("name")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    if newest is None:
         raise FileNotFoundError(f"no delivery folder under {base}")
-    return f"{base.rstrip('/')}/{max(names)}"
+    return f"{base.rstrip('/')}/{newest}"
 
 
 def read_present(spark: SparkSession, paths: Iterable[str]) -> dict[str, DataFrame]:

@@ -25,6 +25,12 @@ def write_table(
     writer.parquet(path)
 
 
+def write_days(df: DataFrame, path: str, day: str) -> None:
+    """Write a table that is partitioned by day: the days that df holds are replaced, all others stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+    writer.partitionBy(day).parquet(path)
+
+
 def write_ndjson_chunks(df: DataFrame, path: str, records_per_file: int = 1000) -> None:
     """NDJSON files of at most ``records_per_file`` records; every task writes its own files."""
     df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)

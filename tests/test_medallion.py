@@ -117,6 +117,32 @@ def test_newest_delivery_is_read(spark, raw):
         readers.input_folder(spark, f"{raw}/nothing")
 
 
+def test_days_are_kept_and_replaced_one_by_one(spark, raw, tmp_path):
+    import shutil
+
+    old = str(tmp_path / "raw")
+    shutil.copytree(raw, old)
+    for source in ("movielens", "imdb", "tmdb", "rotten_tomatoes"):
+        shutil.copytree(f"{raw}/{source}/{DAY}", f"{old}/{source}/2023-01-01", dirs_exist_ok=True)
+    lake, path = str(tmp_path / "lake"), f"{tmp_path}/lake/bronze/tmdb/movies"
+    bronze.ingest_all(spark, old, lake, "2023-01-01")
+    bronze.ingest_all(spark, old, lake, DAY)
+    per_day = lambda: {str(r.ingest_date): r.n for r in readers.read_table(spark, path).groupBy("ingest_date").agg(F.count("*").alias("n")).collect()}
+    assert per_day() == {"2023-01-01": 2, DAY: 2}
+    with open(f"{old}/tmdb/2023-01-01/movies_0009.ndjson", "w") as f:
+        f.write(json.dumps({"id": 77, "title": "Late"}))
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "lake/bronze/tmdb/movies" / f"ingest_date={DAY}").glob("*.parquet")}
+    bronze.ingest_all(spark, old, lake, "2023-01-01")
+    assert per_day() == {"2023-01-01": 3, DAY: 2}
+    assert kept == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "lake/bronze/tmdb/movies" / f"ingest_date={DAY}").glob("*.parquet")}
+    newest, given = readers.read_day(spark, path, "ingest_date"), readers.read_day(spark, path, "ingest_date", "2023-01-01")
+    assert newest.count() == 2 and given.count() == 3 and given.where("id = 77").count() == 1
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    silver.refine_all(spark, lake, DAY)
+    assert readers.read_table(spark, f"{lake}/silver/tmdb/movies").count() == 2
+
+
 def test_bronze(spark, lake):
     def read(name):
         return readers.read_table(spark, f"{lake}/bronze/{name}")
