@@ -202,6 +202,9 @@ MOVIES = {
     "movie_list_filtered": f"""SELECT {_LISTED} FROM films WHERE year = 1997 AND imdb_rating >= 4.0 AND title ILIKE '%RING%'
       AND movie_id IN (SELECT movie_id FROM bridge_movie_genres WHERE genre_id = 3)
       ORDER BY imdb_votes ASC NULLS LAST, movie_id LIMIT 20""",
+    "movies_after": f"""SELECT {_LISTED} FROM films WHERE imdb_rating < 4.0 OR (imdb_rating = 4.0 AND movie_id > 700) OR imdb_rating IS NULL
+      ORDER BY imdb_rating DESC NULLS LAST, movie_id LIMIT 20""",
+    "movies_titled": "SELECT movie_id, title, year FROM dim_movie WHERE title ILIKE '%ring%'",
     "movie_list_total": "SELECT COUNT(*) AS total FROM films WHERE imdb_rating >= 4.0 AND title ILIKE '%ring%'",
     "movie_detail": f"""SELECT movie_id, title, year, imdb_rating, budget, revenue, genres, cast_shown FROM films
       LEFT JOIN (SELECT movie_id, STRING_AGG(genre_id || ':' || genre_name, '|' ORDER BY genre_id) AS genres

@@ -373,6 +373,8 @@ QUERIES: dict[str, Query] = {
     "movie_list_filtered": _on_star(
         movies.movie_list, year=1997, genre_id=3, min_rating=4.0, search="RING", sort_by="votes", sort_order="asc"
     ),
+    "movies_after": _on_star(movies.movies_after, last=(4.0, 700), sort_by="rating"),
+    "movies_titled": _on_star(movies.movies_titled, part="Ring"),
     "movie_list_total": _on_star(movies.movie_list_total, min_rating=4.0, search="ring"),
     "movie_detail": _movie_detail,
     "cast_by_role": _on_star(movies.cast_by_role),

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.operators.dedupe import top_n_per_group
+from reelspark.operators.trigrams import containing, postings
 from reelspark.plans.star import Star
 
 SORT_COLUMNS = {"year": "year", "title": "title", "rating": "imdb_rating", "votes": "imdb_votes"}
+LISTED = ["movie_id", "title", "year", "runtime", "poster_url", "imdb_rating", "imdb_votes", "tmdb_rating", "budget", "revenue"]
 CAST_SHOWN = 20
 
 
@@ -45,27 +47,51 @@ def movie_list(
     sort_by: str = "year",
     sort_order: str = "desc",
 ) -> DataFrame:
-    """One page of films. Runs as a top-k of page * limit rows, not as a full sort."""
+    """One page of films. Runs as a top-k of page * limit rows, not as a full sort; for far pages see ``movies_after``."""
+    films = _matching(star, year, genre_id, min_rating, search).select(*LISTED)
+    return films.orderBy(*_page_order(sort_by, sort_order)).offset((page - 1) * limit).limit(limit)
+
+
+def _page_order(sort_by: str, sort_order: str) -> list[Column]:
     by = F.col(SORT_COLUMNS.get(sort_by, "year"))
-    order = by.desc_nulls_last() if sort_order.lower() == "desc" else by.asc_nulls_last()
-    return (
-        _matching(star, year, genre_id, min_rating, search)
-        .select(
-            "movie_id",
-            "title",
-            "year",
-            "runtime",
-            "poster_url",
-            "imdb_rating",
-            "imdb_votes",
-            "tmdb_rating",
-            "budget",
-            "revenue",
-        )
-        .orderBy(order, "movie_id")
-        .offset((page - 1) * limit)
-        .limit(limit)
-    )
+    return [by.desc_nulls_last() if sort_order.lower() == "desc" else by.asc_nulls_last(), F.asc("movie_id")]
+
+
+def movies_after(
+    star: Star,
+    last: tuple | None = None,
+    limit: int = 20,
+    year: int | None = None,
+    genre_id: int | None = None,
+    min_rating: float | None = None,
+    search: str | None = None,
+    sort_by: str = "year",
+    sort_order: str = "desc",
+) -> DataFrame:
+    """The page after the row ``last`` = (sort value or None, movie_id), the first page without it.
+
+    Every page is a top-k of ``limit`` rows of what the filter leaves, however far it is, where an offset sends all rows before it to one
+    task. Pages in a row hold the same films as ``movie_list``."""
+    films = _matching(star, year, genre_id, min_rating, search).select(*LISTED)
+    if last is not None:
+        by, (value, movie_id) = F.col(SORT_COLUMNS.get(sort_by, "year")), last
+        if value is None:  # NULLs come last
+            films = films.where(by.isNull() & (F.col("movie_id") > movie_id))
+        else:
+            beyond = by < F.lit(value) if sort_order.lower() == "desc" else by > F.lit(value)
+            films = films.where(beyond | ((by == F.lit(value)) & (F.col("movie_id") > movie_id)) | by.isNull())
+    return films.orderBy(*_page_order(sort_by, sort_order)).limit(limit)
+
+
+def title_index(star: Star) -> DataFrame:
+    """Postings of the films' titles for ``movies_titled``; to be stored sorted by gram and movie_id."""
+    return postings(star.dim_movie, "movie_id", "title")
+
+
+def movies_titled(star: Star, part: str, index: DataFrame | None = None) -> DataFrame:
+    """movie_id, title, year of the films whose title holds ``part``; with a stored ``title_index`` only the postings of the part are read."""
+    films = star.dim_movie.select("movie_id", "title", "year")
+    return containing(films, title_index(star) if index is None else index, "movie_id", "title", part)
 
 
 def movie_list_total(

@@ -1,6 +1,7 @@
 """Raw files in their native formats, through bronze, silver, spine and gold, to queries on the star."""
 
 import json
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -277,6 +278,31 @@ def test_star_queries_on_text_ids(star):
     assert temporal.quality_by_month(star).first().month == 3
 
 
+@pytest.mark.parametrize("sort_by,sort_order", [("rating", "desc"), ("rating", "asc"), ("year", "desc"), ("title", "asc")])
+def test_pages_in_a_row_equal_pages_by_offset(star, sort_by, sort_order):
+    column = movies.SORT_COLUMNS[sort_by]
+    want = [r.movie_id for r in movies.movie_list(star, 1, 1000, sort_by=sort_by, sort_order=sort_order).collect()]
+    got, last = [], None
+    while rows := movies.movies_after(star, last, 2, sort_by=sort_by, sort_order=sort_order).collect():
+        got += [r.movie_id for r in rows]
+        last = (rows[-1][column], rows[-1].movie_id)
+    assert got == want and len(want) == star.dim_movie.count()
+
+
+def test_titles_by_index(spark, tmp_path):
+    rng = random.Random(6)
+    titles = ["".join(rng.choices("abAB% _É", k=rng.randint(0, 9))) for _ in range(400)] + [None, "", "ab", "100% Wolf", "100 Wolf", "a_b", "axb", "ÉTÉ"]
+    films = spark.createDataFrame(list(enumerate(titles)), "movie_id int, title string").withColumn("year", F.lit(1))
+    star = SimpleNamespace(dim_movie=films)
+    writers.write_table(movies.title_index(star), str(tmp_path), sort_by=["gram", "movie_id"])
+    index = spark.read.parquet(str(tmp_path))
+    for part in ("ab", "aba", "AB%", "0% w", "a_b", "été", "zzz", "", "ab abab", "\\\\"):
+        want = sorted(i for i, t in enumerate(titles) if t is not None and part.lower() in t.lower())
+        assert sorted(r.movie_id for r in movies.movies_titled(star, part, index).collect()) == want, part
+    plan = movies.movies_titled(star, "wolf", index)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(gram, [olf,wol])" in plan
+
+
 def test_views_are_sql_tables(spark, star):
     star_jobs.register_views(star)
     row = spark.sql("select genres from v_movie_genres where title = 'Toy Story'").first()
