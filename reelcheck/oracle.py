@@ -620,6 +620,11 @@ CHECKS = {
         LEFT JOIN (SELECT movie_id, STRING_AGG(genre_name, ',' ORDER BY genre_name) AS genre_names
           FROM bridge_movie_genres JOIN dim_genre USING (genre_id) GROUP BY movie_id) g ON g.movie_id = m.movie_id"""
     ),
+    "sketched_profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS total, COUNT({c}) AS filled, COUNT(DISTINCT {c}) AS exact_distinct, TRUE AS distinct_near,
+        {"TRUE" if c == "o_totalprice" else "CAST(NULL AS BOOLEAN)"} AS median_near FROM orders"""
+        for c in ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    ),
     "quarantine_rows": _star(
         f"""SELECT movie_id, person_id, category, reason, CAST(COUNT(*) AS BIGINT) AS copies FROM (
         SELECT *, CASE WHEN movie_id IS NULL OR person_id IS NULL THEN 'null_key'

@@ -20,7 +20,7 @@ from reelspark.operators import cube, quality
 from reelspark.operators.dedupe import first_per_key
 from reelspark.operators.joins import union_all
 from reelspark.operators.numbering import serial_key
-from reelspark.operators.profile import completeness_profile
+from reelspark.operators.profile import completeness_profile, delivery_sketches, merged_profile
 from reelspark.plans import (
     bronze,
     dashboard,
@@ -320,6 +320,21 @@ def _completeness_profile(spark, sf_dir):
     return completeness_profile(star_of(spark, sf_dir).films("left"))
 
 
+def _sketched_profile(spark, sf_dir):
+    """Exact counts beside the estimates of merged yearly sketches: within five per cent of the distinct values, and a median whose rank is within 0.45..0.55."""
+    columns = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("delivery"), *columns)
+    profile = merged_profile(delivery_sketches(orders, "delivery"))
+    exact = orders.agg(*(F.count_distinct(c).alias(c) for c in columns)).select(
+        F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact_distinct")) for c in columns)))
+    )
+    median = profile.where("column_name = 'o_totalprice'").select("median")
+    below = orders.agg(F.avg((F.col("o_totalprice") < median.scalar()).cast("double")).alias("rank"))
+    near = F.abs(F.col("distinct_values") - F.col("exact_distinct")) <= 0.05 * F.col("exact_distinct")
+    ranked = F.when(F.col("column_name") == "o_totalprice", below.scalar().between(0.45, 0.55))
+    return profile.join(exact, "column_name").select("column_name", "total", "filled", "exact_distinct", near.alias("distinct_near"), ranked.alias("median_near"))
+
+
 def _dq_uniqueness(spark, sf_dir):
     star = star_of(spark, sf_dir)
     keys = {**star_jobs.PRIMARY_KEYS, "bridge_movie_cast": ["movie_id", "person_id"]}
@@ -436,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "serial_key": _serial_key,
     "enrich_box_office": _enrich_box_office,
     "completeness_profile": _completeness_profile,
+    "sketched_profile": _sketched_profile,
     "warehouse_projection": _warehouse_projection,
     "quarantine_rows": _quarantine_rows,
     "load_manifest": _load_manifest,

@@ -13,7 +13,7 @@ from reelspark.operators.dedupe import first_per_key, top_n_per_group
 from reelspark.operators.joins import left_join_sparse
 from reelspark.operators.numbering import lazy_serial_key, serial_key
 from reelspark.operators.pairs import _shared_scores, named_pair_counts, vocabulary_pair_counts
-from reelspark.operators.profile import completeness_profile
+from reelspark.operators.profile import QUANTILES, completeness_profile, delivery_sketches, merged_profile
 from reelspark.operators.quality import judge_rows, split_quarantine
 from reelspark.operators.quantiles import _place_in_slice, _slice_of, exact_percentiles
 from reelspark.operators.sampling import sample_exactly
@@ -210,6 +210,23 @@ def test_one_crowded_movie_forms_no_pairs(spark):
     assert named_pair_counts(df, 3).count() == 0
 
 
+def test_merged_sketches_are_near_exact_counts(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    values = rng.normal(50, 20, 30_000)
+    rows = [(f"d{i % 4}", int(i % 7000), float(v) if i % 10 else None, None, f"n{i % 3}") for i, v in enumerate(values)] + [("d9", None, float("nan"), None, None)]
+    df = spark.createDataFrame(rows, "day string, k int, v double, e int, s string").repartition(6)
+    for day in ("d0", "d1", "d2", "d3", "d9"):  # a delivery at a time
+        delivery_sketches(df.where(F.col("day") == day), "day").write.mode("append").parquet(str(tmp_path))
+    stored = spark.read.parquet(str(tmp_path))
+    got = {r.column_name: r for r in merged_profile(stored).collect()}
+    assert {c: (r.total, r.filled) for c, r in got.items()} == {"k": (30_001, 30_000), "v": (30_001, 27_001), "e": (30_001, 0), "s": (30_001, 30_000)}
+    assert abs(got["k"].distinct_values - 7000) < 0.05 * 7000 and got["s"].distinct_values == 3 and got["e"].distinct_values == 0
+    kept = np.sort([v for i, v in enumerate(values) if i % 10])
+    assert all(abs(np.searchsorted(kept, got["v"][name]) / len(kept) - p) < 0.03 for name, p in QUANTILES.items())
+    assert got["e"].median is None and got["s"].median is None
+    assert {r.column_name: r.total for r in merged_profile(stored.where("day in ('d0', 'd9')")).collect()} == {c: 7501 for c in "kves"}
+
+
 def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(500)
     a = {r.id for r in sample_exactly(df, 40, F.col("id"), 1).collect()}
