@@ -1,9 +1,11 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 Each task turns its documents into shards of at most `shard_words` words (a longer document is a shard of its own), sorts the
-suffixes of a shard, and binary-searches every suffix of every benchmark item in it. That yields, for each benchmark suffix, the
-longest verbatim match and its places, and all places where a window of `window` words occurs. Documents never leave their task: the
-operator has no shuffle, and a document is whole in one shard, so results per document are final.
+suffixes of a shard, and binary-searches every suffix of every benchmark item in it, one word deeper in each round. That yields all
+places where a window of `window` words occurs. The ranges of a benchmark suffix at depths 1, 2, ... lie inside one another, so the number of
+different ranges around a document suffix is the length of its longest verbatim match with any item; its maximum over a
+document is the document's longest match. Documents never leave their task: the operator has no shuffle, and a document is whole in
+one shard, so results per document are final. Of several longest matches the first in the document is named.
 
 Benchmark items travel to the tasks in blocks of about `block_bytes` bytes of text. With several blocks, the documents pass through
 one scan for each, and every scan adds to the spans and items of the ones before.
@@ -118,12 +120,12 @@ class Shard:
 def search(shard: Shard, suffixes: np.ndarray, left: np.ndarray, depth_of_interest: np.ndarray):
     """Every test suffix (a start in the word array `suffixes`, with `left` words to the item's end) against the shard.
 
-    Returns longest match lengths, one place of the longest match, and the ranges of suffixes that share the first
-    depth_of_interest words (empty where they don't occur).
+    Returns the length of the longest match that starts at each place of the shard, and for each test suffix the range of the shard's
+    suffixes that share its first depth_of_interest words (empty where they don't occur).
     """
     n = len(left)
     lo, hi = np.zeros(n, np.int64), np.full(n, len(shard.order), np.int64)
-    longest, place = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    nested = np.zeros(len(shard.order) + 1, np.int64)  # ranges that begin less those that end at each place of the order
     win_lo, win_hi = np.zeros(n, np.int64), np.zeros(n, np.int64)
     live, depth = np.arange(n), 0
     while len(live):
@@ -133,10 +135,14 @@ def search(shard: Shard, suffixes: np.ndarray, left: np.ndarray, depth_of_intere
         live, a, b = live[found], a[found], b[found]
         depth += 1
         lo[live], hi[live] = a, b
-        longest[live], place[live] = depth, shard.order[a] if len(a) else a
+        begin, which = np.unique(a, return_index=True)  # ranges of one depth are equal or apart
+        nested[begin] += 1
+        nested[b[which]] -= 1
         done = live[depth_of_interest[live] == depth]
         win_lo[done], win_hi[done] = lo[done], hi[done]
-    return longest, place, win_lo, win_hi
+    matched = np.empty(len(shard.order), np.int64)
+    matched[shard.order] = np.cumsum(nested)[:-1]
+    return matched, win_lo, win_hi
 
 
 class Benchmark:
@@ -153,16 +159,27 @@ class Benchmark:
         self.left = np.concatenate([np.arange(n, 0, -1) for n in lengths]) if words else np.empty(0, np.int64)
         size = np.repeat(np.minimum(lengths, window), lengths).astype(np.int64)
         self.window = np.where(self.left >= size, size, 0)
+        self.index = Shard(np.split(self.words, np.cumsum(lengths)[:-1]) if words else [])
+
+    def holders(self, ids: np.ndarray, at: np.ndarray, length: np.ndarray) -> list[str | None]:
+        """An item that holds the words ids[at : at + length], for each (at, length); None where length is 0."""
+        lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(self.index.order), np.int64)
+        live, depth = np.flatnonzero(length > 0), 0
+        while len(live):
+            lo[live], hi[live] = self.index.narrowed(lo[live], hi[live], depth, ids[at[live] + depth])
+            depth += 1
+            live = live[length[live] > depth]
+        of = lambda k: self.names[int(np.searchsorted(self.index.starts, self.index.order[lo[k]], "right")) - 1]
+        return [of(k) if length[k] else None for k in range(len(at))]
 
 
 def scan_shard(docs: list[np.ndarray], bench: Benchmark, earlier: list[dict | None]) -> list[tuple]:
     """FOUND for each document of a shard, with what earlier blocks of the benchmark have found."""
     shard = Shard(docs)
-    longest, place, lo, hi = search(shard, bench.words, bench.left, bench.window)
+    matched, lo, hi = search(shard, bench.words, bench.left, bench.window)
     owner_of = lambda at: np.searchsorted(shard.starts, at, "right") - 1
     marks = np.zeros(len(shard.ids) + 1, np.int64)
     items = [set(e["items"]) if e else set() for e in earlier]
-    best = [(e["longest"], e["longest_item"], e["longest_at"]) if e else (0, None, None) for e in earlier]
     for s in np.flatnonzero(hi > lo).tolist():  # windows that occur in this shard
         at = shard.order[lo[s] : hi[s]]
         np.add.at(marks, at, 1)
@@ -179,10 +196,13 @@ def scan_shard(docs: list[np.ndarray], bench: Benchmark, earlier: list[dict | No
     spans: list[list[tuple[int, int]]] = [[] for _ in docs]
     for first, end, d in zip(firsts.tolist(), ends.tolist(), owner_of(firsts).tolist()):
         spans[d].append((first - int(shard.starts[d]), end - 1 - int(shard.starts[d])))
-    matched = np.flatnonzero(longest > 0)
-    for s, d in zip(matched.tolist(), owner_of(place[matched]).tolist()):
-        if longest[s] > best[d][0]:
-            best[d] = (int(longest[s]), bench.names[bench.item[s]], int(place[s] - shard.starts[d]))
+    longest, owner = np.maximum.reduceat(matched, shard.starts), np.repeat(np.arange(len(docs)), shard.lengths + 1)
+    longest_at = np.flatnonzero(matched == longest[owner])
+    first_of = longest_at[np.unique(owner[longest_at], return_index=True)[1]]
+    names, offsets = bench.holders(shard.ids, first_of, longest), (first_of - shard.starts).tolist()
+    best = [(n, name, at) if n else (0, None, None) for n, name, at in zip(longest.tolist(), names, offsets)]
+    before = [(e["longest"], e["longest_item"], e["longest_at"]) if e else (0, None, None) for e in earlier]
+    best = [min(a, b, key=lambda x: (-x[0], x[2] or 0)) for a, b in zip(before, best)]
     return [(len(ws), spans[d], sorted(items[d]), *best[d]) for d, ws in enumerate(docs)]
 
 
