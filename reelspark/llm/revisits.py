@@ -3,9 +3,12 @@
 A revisit is joined as of its time to the latest strictly earlier full response of its canonical url. Its validators are then
 checked, and its permitted headers replace those of the response.
 
-The as-of join has no self-join: captures are split by url and slice of time. Inside a slice a running window finds the latest response,
-and what a slice hands on to the next ones is one row for each url and slice. A url that holds a third of all
-captures is thus spread over SLICES tasks, and the rows that meet in one window are SLICES at most.
+The as-of join has no self-join: captures are split by url and slice of time. Slices end at the approximate quantiles of all times and,
+for a url with more than one in HOT of the captures, at those of its own times, so that odd times (0, a far future) don't empty the
+slices and a url whose captures all lie close together is spread as well. Only captures of one url at one time stay together. Inside a
+slice a running window finds the latest response, and what a slice hands on to the next ones is one row for each url and slice. A url
+that holds a third of all captures is thus spread over SLICES tasks, and the rows that meet in one window are SLICES at most. The
+quantiles are a part of the plan (one row for all urls, at most HOT rows for hot ones, broadcast by that bound); no job runs while it is built.
 
 Validators: a revisit that names an ETag must agree with the response in it (weakly: W/ is ignored); without ETag in Last-Modified;
 without both in the payload digest; without any it is unverified.
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES = 64
+HOT = 256  # a url with more than one in so many captures has slices of its own; there are fewer than HOT of them
 # Headers that a 304 response may renew (RFC 9110, 15.4.5, and Last-Modified as its metadata for selecting). Fixed values.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 # Query parameters that don't select content.
@@ -67,6 +71,19 @@ def _verdict(r: Column, full: Column) -> Column:
     )
 
 
+def _sliced(rows: DataFrame, slices: int) -> DataFrame:
+    """rows (canonical_url, time, ...) with their slice: how many bounds of their url (or of all urls) their time has passed."""
+    bounds = lambda: F.approx_percentile("time", [k / slices for k in range(1, slices)] or [0.5], 1000)
+    timed = rows.where("canonical_url is not null and time is not null")
+    everyone = timed.agg(F.count("*").alias("n"), bounds().alias("shared"))
+    by_url = timed.groupBy("canonical_url").agg(F.count("*").alias("own_n"))
+    hot = by_url.where(F.col("own_n") * HOT > everyone.select("n").scalar()).select("canonical_url")
+    own = timed.join(F.broadcast(hot), "canonical_url").groupBy("canonical_url").agg(bounds().alias("own_bounds"))
+    split = rows.withColumn("shared", everyone.select("shared").scalar()).join(F.broadcast(own), "canonical_url", "left")
+    passed = F.size(F.filter(F.coalesce("own_bounds", "shared"), lambda b: b < F.col("time")))
+    return split.withColumn("slice", F.coalesce(passed, F.lit(0))).drop("own_bounds", "shared")
+
+
 def resolve_revisits(captures: DataFrame, payloads: bool = False, slices: int = SLICES) -> DataFrame:
     """record_id, canonical_url, time, source_id, status, headers [, payload] of every revisit.
 
@@ -77,9 +94,7 @@ def resolve_revisits(captures: DataFrame, payloads: bool = False, slices: int =
     rows = captures.where(F.col("kind").isin("response", "revisit")).select(
         canonical_url(F.col("url")).alias("canonical_url"), F.col("time").cast("bigint").alias("time"), "kind", F.struct(*fields).alias("own")
     )
-    low, high = rows.agg(F.min("time"), F.max("time")).first()
-    width = max(-(-((high or 0) - (low or 0) + 1) // slices), 1)
-    rows = rows.withColumn("slice", F.expr(f"(time - {low or 0}L) div {width}L"))
+    rows = _sliced(rows, slices)
     usable = F.col("canonical_url").isNotNull() & F.col("time").isNotNull()
     full = F.when((F.col("kind") == "response") & usable, F.col("own"))
     # A response at the time of a revisit isn't earlier: revisits come first.
