@@ -4,8 +4,12 @@ Markup is stripped into lines, one for each block of text. Elements that never b
 forms, scripts, notices, adverts, comments) are left out; outside an article, and at its ends, they become runs of empty lines. A
 sliding window adds up the text lengths of BLOCK lines; text starts at a surge of that sum and ends at a dive to zero. Text of links
 doesn't count towards the sums. The sum has to pass a threshold, or half the largest sum of the page where that is less. A line inside
-<article> or <main> that has text besides links counts ARTICLE characters more: the element is a weight, and the sums choose
-the text inside and outside of it.
+<article> or <main> that has text besides links counts ARTICLE characters more: the element is a weight, too little to pass the
+threshold by itself, and the sums choose the text inside and outside of it. Lines of the element that are all link text and touch chosen
+ones belong to them.
+
+A class or id that is one of MARKS leaves its element out. One that is made of several words, one of them in MARKS (`site-footer`), does so
+outside an article; inside, only if its other words are furniture as well (`share-buttons`, but not `market-share`).
 
 Defined cases: NULL or empty html gives an empty text; unclosed elements end at the next article or at the end of their parent;
 white space (also no-break spaces) collapses; repeated pages are extracted each for itself; an empty table gives no rows; page_id and
@@ -24,7 +28,7 @@ from pyspark.sql import types as T
 
 BLOCK = 3
 THRESHOLD = 120
-ARTICLE = THRESHOLD // BLOCK
+ARTICLE = THRESHOLD // (BLOCK + 1)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|textarea|title|object|canvas|math)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
@@ -44,14 +48,23 @@ MARKS = frozenset(
     "breadcrumb breadcrumbs footer comment comments disqus cookie cookies consent notice popup modal newsletter subscribe subscription "
     "related share sharing social widget toolbar pagination contentinfo complementary search".split()
 )
+# What stands beside a word of MARKS in the names of elements that aren't text.
+FURNITURE = MARKS | frozenset(
+    "area articles bar block bottom box button buttons card column container content count form global group header icon icons inner item items label "
+    "left link links list main mobile page panel posts primary right row secondary section signup site slot stories thread title top "
+    "unit wrap wrapper".split()
+)
 PAGE_HEADER = frozenset("header masthead".split())
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
 
-def _marked(attributes: str) -> set[str]:
+def _marked(attributes: str, article: bool) -> set[str]:
+    """Words of the class, id, role and label of an element; inside an article those of furniture alone."""
     if "=" not in attributes:
         return set()
-    return {part for m in MARK.finditer(attributes) for part in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())}
+    names = [n for m in MARK.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
+    words = [[w for w in re.split(r"[_-]+", n) if w] for n in names]
+    return {w for ws in words if not article or len(ws) == 1 or all(w in FURNITURE or w.isdigit() for w in ws) for w in ws}
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
@@ -113,7 +126,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             elif name == "a":
                 link = max(link - 1, 0)
             continue
-        marks = _marked(m[4])
+        marks = _marked(m[4], article > 0)
         if name in NEVER or (
             name not in ("article", "main", "body", "html") or "comment" in marks
         ) and (marks & MARKS or (not article and (name in PAGE_HEADER or marks & PAGE_HEADER))):
@@ -139,13 +152,17 @@ def main_text(page: str | None, threshold: int = THRESHOLD) -> str:
     weight = [w + ARTICLE if w and inside else w for _, w, inside in lines]
     sums = [sum(weight[i : i + BLOCK]) for i in range(n)]
     surge = min(threshold, max(sums, default=0) / 2)
-    kept, i = [], 0
+    linked = lambda k: 0 <= k < n and lines[k][2] and lines[k][0] and not weight[k]
+    kept, i, end = [], 0, 0
     while i < n:
         if weight[i] > 0 and sums[i] > surge:
-            while i < n and sums[i] > 0:
-                if lines[i][0]:
-                    kept.append(lines[i][0])
+            first = i
+            while first > end and linked(first - 1):
+                first -= 1
+            while i < n and (sums[i] > 0 or linked(i)):
                 i += 1
+            end = i
+            kept.extend(lines[k][0] for k in range(first, end) if lines[k][0])
         else:
             i += 1
     return " ".join(kept)
