@@ -28,8 +28,7 @@ def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Order and threshold of the DuckDB statement.
-    scored = stupid_backoff.score_documents(table(spark, sf_dir, "documents"), min_count=2, order=2)
+    scored = stupid_backoff.score_documents(table(spark, sf_dir, "documents"), order=2)
     return scored.select("doc_id", "n_words", "n_known", F.round("score", 4).alias("score"))
 
 
@@ -216,7 +215,7 @@ ORACLE: dict[str, str] = {
         ), unigrams AS (
             SELECT w, count(*) AS c FROM places GROUP BY w
         ), bigrams AS (
-            SELECT v, w, count(*) AS c2 FROM places WHERE v IS NOT NULL GROUP BY v, w HAVING count(*) >= 2
+            SELECT v, w, count(*) AS c2 FROM places WHERE v IS NOT NULL GROUP BY v, w
         ), sums AS (
             SELECT doc_id, count(c2) AS n_known,
                 sum(ln(CASE WHEN p.v IS NULL THEN u.c / (SELECT sum(c) FROM unigrams)

@@ -58,12 +58,26 @@ def test_decontamination(spark, block_bytes, shard_words):
                     if w[b : b + n] == item[a : a + n]:
                         hit.update(range(b, b + n))
                         found.add(str(i))
-        long = max((k for _, t in items for i in [words(t)] for a in range(len(i)) for k in [max((m for b in range(len(w)) for m in range(len(i) - a + 1) if w[b : b + m] == i[a : a + m]), default=0)]), default=0) if r.doc_id < 8 else r.longest_match
+        holds = lambda n: {tuple(w[b : b + n]) for b in range(len(w) - n + 1)} & {tuple(i[a : a + n]) for _, t in items for i in [words(t)] for a in range(len(i) - n + 1)}  # noqa: B023, E731
+        long = max((n for n in range(1, len(w) + 1) if holds(n)), default=0)
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated, r.longest_match) == (len(w), len(hit), len(found), digest, bool(hit), long)
+        if long:
+            match = w[r.longest_at : r.longest_at + long]
+            named = [words(t) for i, t in items if str(i) == r.longest_item]
+            assert any(match == i[a : a + long] for i in named for a in range(len(i)))
+            assert all(tuple(w[b : b + long]) not in holds(long) for b in range(r.longest_at))
     assert any(r.contaminated for r in got) and not all(r.contaminated for r in got)
 
 
+@pytest.mark.parametrize("block_bytes", [8_000_000, 20])
+def test_a_longest_match_is_found_in_every_document(spark, block_bytes):
+    docs = spark.createDataFrame([(1, "x y z w"), (2, "q x y z r"), (3, "z x"), (4, "none")], "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "x y z w"), (2, "y z"), (3, "a b c d e")], "item_id bigint, text string")
+    got = decontamination.contamination_report(docs, items, block_bytes=block_bytes).collect()
+    assert {r.doc_id: (r.longest_match, r.longest_at) for r in got} == {1: (4, 0), 2: (3, 1), 3: (1, 0), 4: (0, None)}
+
+
 @pytest.mark.parametrize("small_blocks", [False, True])
 def test_near_duplicates(spark, monkeypatch, small_blocks):
     if small_blocks:
@@ -254,6 +268,19 @@ def test_revisits(spark):
         assert r.headers == ({"content-length": str(full[0]), "date": str(i), "etag": str(tag)} if good else None)
 
 
+def test_odd_times_do_not_empty_the_slices_of_a_hot_url(spark):
+    rows = [("hot", 10**9 + i) for i in range(3000)] + [("hot", 0), ("far", 1 << 60)] + [(f"u{i}", 10**9 + 500 * i) for i in range(3000)] + [(None, 5), ("hot", None)]
+    df = spark.createDataFrame(rows, "canonical_url string, time bigint")
+    sliced = revisits._sliced(df, 16).cache()
+    sizes = sorted(r["count"] for r in sliced.where("canonical_url = 'hot' and time > 0").groupBy("slice").count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 2 * 3000 / 16
+    spread = sliced.where("canonical_url like 'u%'").groupBy("slice").count().collect()
+    assert len(spread) == 16 or max(r["count"] for r in spread) <= 1000
+    assert sliced.count() == len(rows) and sliced.where("slice is null").count() == 0
+    by_time = sorted((r.time, r.slice) for r in sliced.where("canonical_url = 'hot' and time is not null").collect())
+    assert by_time == sorted(by_time, key=lambda x: (x[1], x[0]))
+
+
 def test_canonical_url(spark):
     cases = {"HTTPS://www.A.com:443/x/?b=2&utm_source=q&a=1#f": "www.a.com/x?a=1&b=2", "http://a.com": "a.com", "http://a.com/?ref=x": "a.com", "a.com/Q": "a.com/Q"}
     df = spark.createDataFrame([(k,) for k in cases], "url string").select("url", revisits.canonical_url(F.col("url")).alias("c"))
@@ -269,6 +296,40 @@ def test_main_text_without_an_article_element():
     assert html_text.main_text(page) == "Title & x Long paragraph " + "word " * 40 + "second tail a < b"
 
 
+def test_link_lines_and_names_made_of_several_words_inside_an_article():
+    long = "word " * 40
+    page = (
+        f'<nav><a href=x>Home</a></nav><article><h2><a href=t>Title</a></h2><p class="market-share">Share rose</p><p>{long}</p><p><a href=y>Between</a></p>'
+        '<p class="search-intro">Intro</p><div class="share-buttons"><p>Share now</p></div><p class="related-work">Work</p><ul class="related"><li>More</ul>'
+        '<p><a href=z>Last link</a></p></article><div class="site-footer"><p>Imprint</p></div>'
+    )
+    assert html_text.main_text(page) == f"Title Share rose {long.strip()} Between Intro Work Last link"
+
+
+def plain_line_blocks(lines, threshold):
+    """Runs of lines whose sums of BLOCK weights stay above zero, with a line of their own weight whose sum passes the threshold."""
+    weight = [w + html_text.ARTICLE if w and inside else w for _, w, inside in lines]
+    total = lambda k: sum(weight[k : k + html_text.BLOCK])
+    need = min(threshold, max(map(total, range(len(lines))), default=0) / 2)
+    link = lambda k: lines[k][2] and lines[k][0] and not weight[k]
+    chosen = set()
+    for k in range(len(lines)):
+        if weight[k] and total(k) > need:
+            for step in (1, -1):
+                at = k
+                while 0 <= at < len(lines) and (link(at) or (step > 0 and total(at) > 0) or at == k):
+                    chosen.add(at)
+                    at += step
+    return " ".join(lines[k][0] for k in sorted(chosen) if lines[k][0])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["<p>", "<p><a>", "</p>", "</a>", "<article>", "</article>", "<nav>", "</nav>", "<br>"]), st.integers(0, 90)), max_size=25))
+def test_main_text_equals_plain_line_blocks(parts):
+    page = "".join(tag + "w" * n for tag, n in parts)
+    assert html_text.main_text(page) == plain_line_blocks(html_text.page_lines(page), html_text.THRESHOLD)
+
+
 def test_main_text_of_an_article():
     page = '<html><nav><a>x</a><article><header><h1>T</h1></header><p class="ad">Buy<p>Real&nbsp;text <a href="/x">linked</a> on<script>var a="</p>";</script>e</p><form><input><p>mail</p></form><p>More</p></article><aside>side</aside>'
     assert html_text.main_text(page) == "T Real text linked one More"
