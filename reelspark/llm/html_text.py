@@ -5,8 +5,8 @@ forms, scripts, notices, adverts, comments) are left out; outside an article, an
 sliding window adds up the text lengths of BLOCK lines; text starts at a surge of that sum and ends at a dive to zero. Text of links
 doesn't count towards the sums. The sum has to pass a threshold, or half the largest sum of the page where that is less. A line inside
 <article> or <main> that has text besides links counts ARTICLE characters more: the element is a weight, too little to pass the
-threshold by itself, and the sums choose the text inside and outside of it. Lines of the element that are all link text and touch chosen
-ones belong to them.
+threshold by itself, and the sums choose the text inside and outside of it. Lines of the element that touch chosen ones belong to them,
+short ones and links too, as headings and last lines are.
 
 A class or id that is one of MARKS leaves its element out. One that is made of several words, one of them in MARKS (`site-footer`), does so
 outside an article; inside, only if its other words are furniture as well (`share-buttons`, but not `market-share`).
@@ -152,14 +152,14 @@ def main_text(page: str | None, threshold: int = THRESHOLD) -> str:
     weight = [w + ARTICLE if w and inside else w for _, w, inside in lines]
     sums = [sum(weight[i : i + BLOCK]) for i in range(n)]
     surge = min(threshold, max(sums, default=0) / 2)
-    linked = lambda k: 0 <= k < n and lines[k][2] and lines[k][0] and not weight[k]
+    beside = lambda k: 0 <= k < n and lines[k][2] and lines[k][0]
     kept, i, end = [], 0, 0
     while i < n:
         if weight[i] > 0 and sums[i] > surge:
             first = i
-            while first > end and linked(first - 1):
+            while first > end and beside(first - 1):
                 first -= 1
-            while i < n and (sums[i] > 0 or linked(i)):
+            while i < n and (sums[i] > 0 or beside(i)):
                 i += 1
             end = i
             kept.extend(lines[k][0] for k in range(first, end) if lines[k][0])

@@ -311,13 +311,13 @@ def plain_line_blocks(lines, threshold):
     weight = [w + html_text.ARTICLE if w and inside else w for _, w, inside in lines]
     total = lambda k: sum(weight[k : k + html_text.BLOCK])
     need = min(threshold, max(map(total, range(len(lines))), default=0) / 2)
-    link = lambda k: lines[k][2] and lines[k][0] and not weight[k]
+    beside = lambda k: lines[k][2] and lines[k][0]
     chosen = set()
     for k in range(len(lines)):
         if weight[k] and total(k) > need:
             for step in (1, -1):
                 at = k
-                while 0 <= at < len(lines) and (link(at) or (step > 0 and total(at) > 0) or at == k):
+                while 0 <= at < len(lines) and (beside(at) or (step > 0 and total(at) > 0) or at == k):
                     chosen.add(at)
                     at += step
     return " ".join(lines[k][0] for k in sorted(chosen) if lines[k][0])
