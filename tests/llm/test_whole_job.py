@@ -62,3 +62,21 @@ def test_shapes_miss_few_pairs():
     form = near_duplicates.shape(5, (80, 100))
     rng = np.random.default_rng(22)
     assert (rng.binomial(form.positions, 0.2, 1_000_000) > form.max_distance).sum() <= 5
+
+
+def test_tasks_count_equal_shares_of_the_ngrams():
+    TaskContext._getOrCreate()._partitionId = 0
+    text = " ".join(f"w{i}" for i in np.random.default_rng(3).integers(0, 40_000, 60_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
+    tasks, share, rows = 300, 14, []
+    for b in stupid_backoff._ask(2, tasks * share)(iter([batch])):
+        rows += [r for r in b.to_pylist() if r["payload"] is None]
+    assert [r["first"] for r in rows] == np.cumsum([0] + [len(r["k"]) for r in rows])[:-1].tolist()
+    words = np.unique(text.split()).size, len(set(zip(text.split(), text.split()[1:])))
+    assert len({(r["bucket"], h, x) for r in rows for h, x in zip(r["high"], r["low"])}) == sum(words) + 1
+    held = np.bincount([r["bucket"] // share for r in rows], [len(r["k"]) for r in rows], tasks)
+    assert len(held) == tasks and held.max() < 1.4 * held.mean()
+
+
+def test_a_counting_task_sorts_little():
+    assert stupid_backoff.TASK_BYTES <= 8_000_000  # 24 000 000 took 400 MB a task and all of an executor's memory
