@@ -64,7 +64,8 @@ def test_shapes_miss_few_pairs():
     assert (rng.binomial(form.positions, 0.2, 1_000_000) > form.max_distance).sum() <= 5
 
 
-def test_tasks_count_equal_shares_of_the_ngrams():
+def test_tasks_count_equal_shares_of_the_ngrams(monkeypatch):
+    monkeypatch.setattr(TaskContext, "_taskContext", None)  # so that none is left after the test
     TaskContext._getOrCreate()._partitionId = 0
     text = " ".join(f"w{i}" for i in np.random.default_rng(3).integers(0, 40_000, 60_000))
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
